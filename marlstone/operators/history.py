@@ -87,9 +87,9 @@ def merge_batch(current: DataFrame, incoming: DataFrame, rules: HistoryRules, at
     paired = stored.join(arrived, rules.key, "full_outer")
 
     keep = F.col("stored")
-    close = _updated("stored", columns, _closed(rules, now))
-    reopen = _updated("arrived", columns, _opened(rules, now, first=False))
-    insert = _updated("arrived", columns, _opened(rules, now, first=True, of="arrived"))
+    close = _with_fields("stored", columns, _closed(rules, now))
+    reopen = _with_fields("arrived", columns, _opened(rules, now, first=False))
+    insert = _with_fields("arrived", columns, _opened(rules, now, first=True, of="arrived"))
     changed = differs("stored", "arrived", rules.tracked)
 
     versions = (
@@ -159,12 +159,14 @@ def _all_columns(current: DataFrame, incoming: DataFrame, rules: HistoryRules) -
 def _as_struct(df: DataFrame, columns: dict[str, str], name: str) -> Column:
     present = set(df.columns)
     fields = [
-        (F.col(c) if c in present else F.lit(None)).cast(kind).alias(c) for c, kind in columns.items()
+        f"CAST({f'`{c}`' if c in present else 'NULL'} AS {kind}) AS `{c}`" for c, kind in columns.items()
     ]
-    return F.struct(*fields).alias(name)
+    return F.expr(f"struct({', '.join(fields)})").alias(name)
 
 
-def _updated(source: str, columns: dict[str, str], values: dict[str, Column]) -> Column:
-    return F.struct(
-        *[values.get(c, F.col(f"{source}.{c}")).cast(kind).alias(c) for c, kind in columns.items()]
-    )
+def _with_fields(source: str, columns: dict[str, str], values: dict[str, Column]) -> Column:
+    """The struct ``source`` with some fields replaced, in the same field order and types."""
+    out = F.col(source)
+    for name, value in values.items():
+        out = out.withField(f"`{name}`", value.cast(columns[name]))
+    return out

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marlstone.sources.scratch import exists
+
 CORRUPT = "_corrupt_record"
 ARRAY_BRACKETS = ("[", "]")
 
@@ -54,14 +55,9 @@ def read_parquet(spark: SparkSession, path: str, *, merge_schema: bool = False)
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
-def read_if_present(spark: SparkSession, path: str, **options) -> DataFrame | None:
-    """Read Parquet, or ``None`` when there is no such path; other errors are raised."""
-    try:
-        return spark.read.options(**options).parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+def read_if_present(spark: SparkSession, path: str, *, merge_schema: bool = False) -> DataFrame | None:
+    """Read Parquet, or ``None`` when there is no such path; any other problem is raised."""
+    return read_parquet(spark, path, merge_schema=merge_schema) if exists(spark, path) else None
 
 
 def within_months(df: DataFrame, months: tuple[tuple[int, int], tuple[int, int]] | None) -> DataFrame:

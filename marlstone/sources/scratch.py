@@ -51,6 +51,17 @@ def scratch_table(df: DataFrame, label: str) -> Iterator[DataFrame]:
         remove(spark, path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    files, target = _hadoop(spark, path)
+    return files.exists(target)
+
+
 def remove(spark: SparkSession, path: str) -> None:
+    files, target = _hadoop(spark, path)
+    files.delete(target, True)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """The file system of a path, and the path as that file system takes it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target

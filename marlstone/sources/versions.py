@@ -19,9 +19,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from marlstone.sources.readers import locate
+from marlstone.sources.scratch import exists
 
 COMMIT = "version bigint, batch_id string, committed_at timestamp"
 
@@ -34,12 +34,8 @@ class Commit:
 
 
 def commits(spark: SparkSession, base: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(COMMIT).json(locate(base, "_commits"))
-    except AnalysisException as problem:
-        if problem.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    path = locate(base, "_commits")
+    return spark.read.schema(COMMIT).json(path) if exists(spark, path) else None
 
 
 def last_commit(spark: SparkSession, base: str) -> Commit | None:

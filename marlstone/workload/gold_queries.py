@@ -69,8 +69,7 @@ DAILY_SQL = with_inputs(
 
 @query("daily_revenue_by_category", DAILY_SQL)
 def daily_revenue_by_category(spark, folder):
-    df = gold.daily_revenue_by_category(*_orders_items_products(spark, folder))
-    return df.orderBy("order_date", "category", "sub_category")
+    return gold.daily_revenue_by_category(*_orders_items_products(spark, folder))
 
 
 ORDER_REVENUE_SQL = f"""SELECT order_id, customer_id, order_date, round({exact_sum('line_total')}, 2) AS revenue
