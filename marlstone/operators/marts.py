@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.entities import REVENUE_STATUSES
 from marlstone.functions import exact
 from marlstone.functions.rules import day, has_status, tiers
 from marlstone.operators.dedup import top_per_key
@@ -231,7 +230,3 @@ def product_dimension(products: DataFrame) -> DataFrame:
             "poorly_rated",
         ).alias("rating_tier"),
     )
-
-
-def is_revenue_line(enriched: DataFrame) -> DataFrame:
-    return enriched.filter(has_status(REVENUE_STATUSES))

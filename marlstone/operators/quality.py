@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.functions.rules import all_true
+from marlstone.sources.scratch import written
 
 
 class DataQualityError(Exception):
@@ -112,13 +112,26 @@ def unbalanced_days(daily: DataFrame, tolerance: float = 1.0) -> DataFrame:
     )
 
 
-def run_suite(df: DataFrame, suite, parents: Mapping[str, tuple[DataFrame, str]] | None = None) -> DataFrame:
+def run_suite(
+    df: DataFrame,
+    suite,
+    parents: Mapping[str, tuple[DataFrame, str]] | None = None,
+    *,
+    store: bool = False,
+) -> DataFrame:
     """Violation count of every check of a suite: (check_name, column_name, failures).
 
     Row-level checks share one scan; each uniqueness or reference check is a
-    distributed aggregate or anti join of its own.
+    distributed aggregate or anti join of its own.  With ``store``, the checked
+    columns are written out first, so that a costly model is computed once.
     """
     parents = parents or {}
+    checked = {*suite.not_null, *suite.unique, *suite.accepted_values, *parents}
+    checked.update(c for columns in suite.unique_combinations for c in columns)
+    df = df.select(*[c for c in df.columns if c in checked])
+    if store:
+        df = written(df, "suite")
+
     tests = [("not_null", c, F.col(c).isNull()) for c in suite.not_null]
     tests += [
         ("accepted_values", c, ~F.col(c).isin(*values)) for c, values in suite.accepted_values.items()
@@ -126,15 +139,13 @@ def run_suite(df: DataFrame, suite, parents: Mapping[str, tuple[DataFrame, str]]
     counts = df.agg(*[F.count_if(test).alias(f"n{i}") for i, (_, _, test) in enumerate(tests)])
     rows = [_result(kind, column, F.col(f"n{i}")) for i, (kind, column, _) in enumerate(tests)]
     report = counts.select(F.inline(F.array(*rows)))
-    grouped = [("unique", (c,)) for c in suite.unique] + [
-        ("unique_combination", tuple(columns)) for columns in suite.unique_combinations
-    ]
-    for kind, columns in grouped:
-        failures = repeated(df, *columns).agg(F.count(F.lit(1)).alias("n"))
-        report = report.unionAll(failures.select(F.inline(F.array(_result(kind, ",".join(columns), F.col("n"))))))
-    for column, (parent, parent_column) in parents.items():
-        failures = orphans(df, column, parent, parent_column).agg(F.count(F.lit(1)).alias("n"))
-        report = report.unionAll(failures.select(F.inline(F.array(_result("relationships", column, F.col("n"))))))
+
+    violations = [("unique", c, repeated(df, c)) for c in suite.unique]
+    violations += [("unique_combination", ",".join(cs), repeated(df, *cs)) for cs in suite.unique_combinations]
+    violations += [("relationships", c, orphans(df, c, *parent)) for c, parent in parents.items()]
+    for kind, column, failing in violations:
+        total = failing.agg(F.count(F.lit(1)).alias("n"))
+        report = report.unionAll(total.select(_result(kind, column, F.col("n")).alias("r")).select("r.*"))
     return report
 
 
@@ -146,7 +157,3 @@ def _result(kind: str, column: str, failures):
 
 def all_hold(report: DataFrame) -> bool:
     return report.filter("failures > 0").isEmpty()
-
-
-def complete_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.filter(all_true(F.col(c).isNotNull() for c in columns))

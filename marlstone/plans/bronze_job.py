@@ -42,28 +42,29 @@ def ingest_frame(
     """
     if raw.isEmpty():
         return IngestCounts(0, 0, 0)
-    spark = raw.sparkSession
     coerced = coerce(raw, entity.types)
-    seen = Observation()
-    observed = coerced.observe(
-        seen, F.count_if(~is_complete(coerced, entity.required)).alias("incomplete")
-    )
-    valid, _ = split_required(observed, entity.required)
-    valid = valid.drop(CORRUPT)
-    if entity.date_column:
-        valid = flag_late(with_order_month(valid, entity.date_column), entity.date_column, as_of)
-    valid = stamp(valid, entity.file, batch_id, ingested_at)
-    path = add_batch(valid, bronze_base, entity.name, batch_id, entity.partition_by)
-    accepted = spark.read.schema(valid.schema).parquet(path).count()
-    rejected = 0
-    if seen.get["incomplete"]:
+    accepted, rejected = 0, None
+    if set(entity.required) <= set(coerced.columns):
+        seen = Observation()
+        incomplete = F.count_if(~is_complete(coerced, entity.required))
+        valid, _ = split_required(coerced.observe(seen, incomplete.alias("n")), entity.required)
+        if entity.date_column:
+            valid = flag_late(with_order_month(valid, entity.date_column), entity.date_column, as_of)
+        valid = stamp(valid.drop(CORRUPT), entity.file, batch_id, ingested_at)
+        accepted = _store(valid, bronze_base, entity.name, batch_id, entity.partition_by)
+        rejected = seen.get["n"]
+    if rejected != 0:
         _, quarantine = split_required(coerced, entity.required)
         quarantine = stamp(quarantine, entity.file, batch_id, ingested_at)
-        path = add_batch(quarantine, locate(bronze_base, QUARANTINE), entity.name, batch_id)
-        rejected = spark.read.schema(quarantine.schema).parquet(path).count()
+        rejected = _store(quarantine, locate(bronze_base, QUARANTINE), entity.name, batch_id)
     return IngestCounts(accepted + rejected, accepted, rejected)
 
 
+def _store(rows: DataFrame, base: str, table: str, batch_id: str, partition_by=()) -> int:
+    path = add_batch(rows, base, table, batch_id, partition_by)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path).count()
+
+
 def ingest_entity(
     spark: SparkSession,
     name: str,

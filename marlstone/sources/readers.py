@@ -33,9 +33,19 @@ def read_json(
         inferred = reader.option("mode", "DROPMALFORMED").json(path).schema
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inferred if f.name != CORRUPT)
         reader = reader.option("mode", "PERMISSIVE")
-    fields = f"{schema}, `{CORRUPT}` string" if schema else f"`{CORRUPT}` string"
+    if not schema:
+        return _without_records(spark, path, layout)
+    fields = f"{schema}, `{CORRUPT}` string"
     records = reader.schema(fields).option("columnNameOfCorruptRecord", CORRUPT).json(path)
-    return without_brackets(records) if layout == "lines" and schema else records
+    return without_brackets(records) if layout == "lines" else records
+
+
+def _without_records(spark: SparkSession, path: str, layout: str) -> DataFrame:
+    """Input in which no record was found: whatever else it holds is corrupt text."""
+    text = spark.read.option("wholetext", layout == "document").text(path)
+    return text.select(F.col("value").alias(CORRUPT)).filter(
+        F.regexp_replace(CORRUPT, r"[\[\]\s]", "") != ""
+    )
 
 
 def without_brackets(records: DataFrame) -> DataFrame:

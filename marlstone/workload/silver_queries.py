@@ -436,7 +436,9 @@ def _register_suite(model: str) -> None:
             column: (MODELS[parent][0](spark, folder), key)
             for column, (parent, key) in suite.references.items()
         }
-        return quality.run_suite(MODELS[model][0](spark, folder), suite, parents)
+        return quality.run_suite(
+            MODELS[model][0](spark, folder), suite, parents, store=not model.startswith("stg_")
+        )
 
 
 for _model in MODELS:
