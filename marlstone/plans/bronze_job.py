@@ -19,7 +19,8 @@ from marlstone.operators.bronze import (
 )
 from marlstone.plans.outcomes import Outcome, run_each
 from marlstone.sources.readers import CORRUPT, locate, read_json
-from marlstone.sources.writers import add_batch
+from marlstone.sources.scratch import remove
+from marlstone.sources.writers import add_batch, batch_path
 
 QUARANTINE = "_quarantine"
 
@@ -57,6 +58,9 @@ def ingest_frame(
         _, quarantine = split_required(coerced, entity.required)
         quarantine = stamp(quarantine, entity.file, batch_id, ingested_at)
         rejected = _store(quarantine, locate(bronze_base, QUARANTINE), entity.name, batch_id)
+    else:
+        # A replay of a corrected source leaves nothing of the earlier quarantine.
+        remove(raw.sparkSession, batch_path(locate(bronze_base, QUARANTINE), entity.name, batch_id))
     return IngestCounts(accepted + rejected, accepted, rejected)
 
 

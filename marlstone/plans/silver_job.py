@@ -16,7 +16,7 @@ from marlstone.operators.silver import silver_rows, stamp_silver
 from marlstone.plans.outcomes import Outcome, run_each
 from marlstone.sources.readers import locate, within_months
 from marlstone.sources.scratch import scratch_table
-from marlstone.sources.versions import Commit, is_committed, last_commit, read_versions, write_version
+from marlstone.sources.versions import Commit, last_commit, read_versions, state, write_version
 from marlstone.sources.writers import read_batches, write_table
 
 
@@ -46,7 +46,7 @@ def process_entity(
     at = processed_at or datetime.now(timezone.utc)
     run = run_id or str(uuid.uuid4())
     target = locate(silver_base, name)
-    if name == "customers" and is_committed(spark, target, run):
+    if name == "customers" and run_id and state(spark, target, run).seen:
         return read_silver(spark, silver_base, name).count()
     with scratch_table(deduplicated_bronze(spark, bronze_base, name), f"dedup-{name}") as latest:
         enforce_null_limits(latest, entity.null_limits, name, null_limit)
@@ -61,26 +61,23 @@ def process_entity(
 def merge_into(incoming: DataFrame, base: str, rules: HistoryRules, batch_id: str, at: datetime) -> Commit:
     """Merge a batch into a stored history; a batch already merged changes nothing."""
     spark = incoming.sparkSession
-    last = last_commit(spark, base)
-    if last and is_committed(spark, base, batch_id):
-        return last
-    if last is None:
+    found = state(spark, base, batch_id)
+    if found.last is None:
         rows = first_load(incoming, rules, at)
+    elif found.seen:
+        return found.last
     else:
-        current = read_versions(spark, base, last, "current")
+        current = read_versions(spark, base, found.last, "current")
         if not rules.current_flag:
             current = current.drop("is_current")
         rows = merge_batch(current, incoming, rules, at)
     rows = rows.withColumn("is_current", rules.is_current())
-    return write_version(rows, base, last.version + 1 if last else 1, batch_id, at)
+    return write_version(rows, base, found.last.version + 1 if found.last else 1, batch_id, at)
 
 
 def read_history(spark: SparkSession, base: str, rules: HistoryRules) -> DataFrame:
     """All versions of a stored history."""
-    last = last_commit(spark, base)
-    if last is None:
-        raise FileNotFoundError(f"no committed version under {base}")
-    rows = read_versions(spark, base, last)
+    rows = read_versions(spark, base, last_commit(spark, base))
     return rows if rules.current_flag else rows.drop("is_current")
 
 
@@ -89,8 +86,6 @@ def read_silver(spark: SparkSession, silver_base: str, name: str, months=None) -
     path = locate(silver_base, name)
     if name == "customers":
         last = last_commit(spark, path)
-        if last is None:
-            raise FileNotFoundError(f"no committed version under {path}")
         # A run restates the whole dimension, so all rows carry its time.
         return read_versions(spark, path, last).withColumn(
             "_silver_processed_at", moment(last.committed_at)

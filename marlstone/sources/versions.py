@@ -23,7 +23,9 @@ from pyspark.sql import functions as F
 from marlstone.sources.readers import locate
 from marlstone.sources.scratch import exists
 
-COMMIT = "version bigint, batch_id string, committed_at timestamp"
+LOG = "_commits"
+RECORD = "version bigint, batch_id string, committed_at timestamp, columns string"
+FOLDERS = "`v` bigint, `is_current` boolean"
 
 
 @dataclass(frozen=True)
@@ -31,42 +33,48 @@ class Commit:
     version: int
     batch_id: str
     committed_at: datetime
+    columns: str  # every column any version has; spares readers the file footers
 
 
-def commits(spark: SparkSession, base: str) -> DataFrame | None:
-    path = locate(base, "_commits")
-    return spark.read.schema(COMMIT).json(path) if exists(spark, path) else None
+@dataclass(frozen=True)
+class State:
+    last: Commit | None
+    seen: bool  # is the batch asked about committed already?
 
 
-def last_commit(spark: SparkSession, base: str) -> Commit | None:
-    log = commits(spark, base)
-    if log is None:
-        return None
-    found = log.orderBy(F.desc("version")).first()
-    return Commit(found.version, found.batch_id, found.committed_at) if found else None
+def state(spark: SparkSession, base: str, batch_id: str | None = None) -> State:
+    """The last commit, and whether a batch has been committed, from one look at the log."""
+    path = locate(base, LOG)
+    if not exists(spark, path):
+        return State(None, False)
+    log = spark.read.schema(RECORD).json(path)
+    last = F.max_by(F.struct("version", "batch_id", "committed_at", "columns"), "version")
+    found = log.agg(last.alias("last"), F.bool_or(F.col("batch_id") == batch_id).alias("seen")).first()
+    return State(Commit(*found.last) if found.last else None, bool(found.seen))
 
 
-def is_committed(spark: SparkSession, base: str, batch_id: str) -> bool:
-    log = commits(spark, base)
-    return log is not None and not log.filter(F.col("batch_id") == batch_id).isEmpty()
+def last_commit(spark: SparkSession, base: str) -> Commit:
+    last = state(spark, base).last
+    if last is None:
+        raise FileNotFoundError(f"no committed version under {base}")
+    return last
 
 
 def read_versions(spark: SparkSession, base: str, commit: Commit, part: str = "all") -> DataFrame:
     """The dimension as of a commit, or only its ``current`` or ``closed`` rows."""
-    stored = spark.read.option("mergeSchema", True).parquet(base)
-    flag = F.col("is_current").cast("boolean")
-    current = flag & (F.col("v") == commit.version)
-    closed = ~flag & (F.col("v") <= commit.version)
+    stored = spark.read.schema(f"{commit.columns}, {FOLDERS}").parquet(base)
+    current = F.col("is_current") & (F.col("v") == commit.version)
+    closed = ~F.col("is_current") & (F.col("v") <= commit.version)
     chosen = {"all": current | closed, "current": current, "closed": closed}[part]
-    return stored.filter(chosen).withColumn("is_current", flag).drop("v")
+    return stored.filter(chosen).drop("v")
 
 
 def write_version(rows: DataFrame, base: str, version: int, batch_id: str, at: datetime) -> Commit:
     """Write rows that carry ``is_current`` as a new version and commit it."""
     spark = rows.sparkSession
     rows.write.mode("overwrite").partitionBy("is_current").parquet(locate(base, f"v={version}"))
-    record = spark.range(1).select(
-        F.lit(version).alias("version"), F.lit(batch_id).alias("batch_id"), F.lit(at).alias("committed_at")
-    )
-    record.coalesce(1).write.mode("append").json(locate(base, "_commits"))
-    return Commit(version, batch_id, at)
+    columns = ", ".join(f"`{name}` {kind}" for name, kind in rows.dtypes if name != "is_current")
+    commit = Commit(version, batch_id, at, columns)
+    record = spark.range(1).select(*[F.lit(value).alias(name) for name, value in vars(commit).items()])
+    record.coalesce(1).write.mode("append").json(locate(base, LOG))
+    return commit

@@ -60,8 +60,14 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def without_internal(df: DataFrame) -> DataFrame:
+    """Drop the columns whose name starts with an underscore."""
+    return df.drop(*[c for c in df.columns if c.startswith("_")])
+
+
 def export_sample(df: DataFrame, path: str, key: Sequence[str], rows: int | None = None) -> None:
-    """CSV export of the whole table, or of its first ``rows`` rows by key."""
+    """CSV export of the public columns, of all rows or of the first ``rows`` by key."""
+    df = without_internal(df)
     write_csv(df if rows is None else df.orderBy(*key).limit(rows), path)
 
 

@@ -119,7 +119,7 @@ PROJECTIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
             ("income_bracket", _INCOME),
             ("is_churned", "c_acctbal < 0"),
             ("churn_date", "CASE WHEN c_acctbal < 0 THEN DATE '2001-06-15' END"),
-            ("is_current", "c_custkey % 50 <> 3"),
+            ("is_current", "c_acctbal >= -900"),
         ],
     ),
     "raw_orders": (
@@ -262,9 +262,14 @@ PROJECTIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
     ),
 }
 
-# The customers as three successive batches see them: keys vanish and come back,
-# and tracked (city, income, phone) and untracked (first name) columns change.
-BATCH_FILTERS = {1: "customer_id % 10 <> 0", 2: "customer_id % 10 <> 1", 3: "customer_id % 10 <> 2"}
+# The customers as three successive batches see them, each without one of the
+# income groups: keys vanish and come back, and tracked (city, phone, zip code) and
+# untracked (first name) columns change.
+BATCH_FILTERS = {
+    1: "income_bracket <> 'high'",
+    2: "income_bracket <> 'medium'",
+    3: "income_bracket <> 'low'",
+}
 BATCH_CHANGES = {
     1: {"phone": "CASE WHEN customer_id % 13 = 0 THEN NULL ELSE phone END"},
     2: {
@@ -273,7 +278,7 @@ BATCH_CHANGES = {
     },
     3: {
         "city": "CASE WHEN customer_id % 14 = 0 THEN 'Moved ' || city ELSE city END",
-        "income_bracket": "CASE WHEN customer_id % 17 = 0 THEN 'low' ELSE income_bracket END",
+        "zip_code": "CASE WHEN customer_id % 17 = 0 THEN NULL ELSE zip_code END",
     },
 }
 # Item number i of an order document; every third catalogue number is unknown.

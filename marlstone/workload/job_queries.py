@@ -256,7 +256,7 @@ def csv_staging(spark, folder):
 def csv_sample(spark, folder):
     path = new_path(spark, "sample")
     orders = load(spark, folder, "orders").select("order_id", "customer_id", "status", "total")
-    export_sample(orders, path, ["order_id"], rows=10_000)
+    export_sample(orders.withColumn("_weight", F.col("total") * 2), path, ["order_id"], rows=10_000)
     rows = read_csv(spark, path)
     return rows.select(*[F.col(c).cast(t).alias(c) for c, t in orders.dtypes])
 

@@ -105,6 +105,17 @@ def test_bronze_counts_flags_and_replay(spark, raw, tmp_path):
     assert read_batches(spark, base + "/_quarantine", "orders").count() == 1
 
 
+def test_replay_of_a_corrected_batch_clears_its_quarantine(spark, raw, tmp_path):
+    base = str(tmp_path / "bronze")
+    path = f"{raw}/products.json"
+    assert ingest_entity(spark, "products", path, base, "b").quarantined == 1
+    write_array(path, [product(1), product(2)])
+    counts = ingest_entity(spark, "products", path, base, "b")
+    assert (counts.valid, counts.quarantined) == (2, 0)
+    assert read_batches(spark, base, "products").count() == 2
+    assert not os.path.exists(f"{base}/_quarantine/products/batch_folder=id-b")
+
+
 def test_empty_source_is_skipped(spark, tmp_path):
     path = str(tmp_path / "orders.json")
     write_array(path, [])
