@@ -44,6 +44,7 @@ def ingest_frame(
     if raw.isEmpty():
         return IngestCounts(0, 0, 0)
     coerced = coerce(raw, entity.types)
+    quarantine_base = locate(bronze_base, QUARANTINE)
     accepted, rejected = 0, None
     if set(entity.required) <= set(coerced.columns):
         seen = Observation()
@@ -52,23 +53,18 @@ def ingest_frame(
         if entity.date_column:
             valid = flag_late(with_order_month(valid, entity.date_column), entity.date_column, as_of)
         valid = stamp(valid.drop(CORRUPT), entity.file, batch_id, ingested_at)
-        accepted = _store(valid, bronze_base, entity.name, batch_id, entity.partition_by)
+        accepted = add_batch(valid, bronze_base, entity.name, batch_id, entity.partition_by).count()
         rejected = seen.get["n"]
     if rejected != 0:
         _, quarantine = split_required(coerced, entity.required)
         quarantine = stamp(quarantine, entity.file, batch_id, ingested_at)
-        rejected = _store(quarantine, locate(bronze_base, QUARANTINE), entity.name, batch_id)
+        rejected = add_batch(quarantine, quarantine_base, entity.name, batch_id).count()
     else:
         # A replay of a corrected source leaves nothing of the earlier quarantine.
-        remove(raw.sparkSession, batch_path(locate(bronze_base, QUARANTINE), entity.name, batch_id))
+        remove(raw.sparkSession, batch_path(quarantine_base, entity.name, batch_id))
     return IngestCounts(accepted + rejected, accepted, rejected)
 
 
-def _store(rows: DataFrame, base: str, table: str, batch_id: str, partition_by=()) -> int:
-    path = add_batch(rows, base, table, batch_id, partition_by)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path).count()
-
-
 def ingest_entity(
     spark: SparkSession,
     name: str,

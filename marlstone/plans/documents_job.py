@@ -31,11 +31,12 @@ def flatten_documents(
     spark: SparkSession, source_base: str, silver_base: str, layout: str = "lines"
 ) -> dict[str, DataFrame]:
     """``<source_base>/<name>/<name>.json`` to ``<silver_base>/<name>``."""
+    tables = {}
     for name, (schema, clean) in SOURCES.items():
         source = locate(source_base, name, f"{name}.json")
         raw = read_json(spark, source, layout=layout, schema=schema).drop(CORRUPT)
-        write_table(clean(raw), locate(silver_base, name))
-    return {name: read_parquet(spark, locate(silver_base, name)) for name in SOURCES}
+        tables[name] = write_table(clean(raw), locate(silver_base, name))
+    return tables
 
 
 def report_documents(spark: SparkSession, silver_base: str, gold_base: str) -> dict[str, DataFrame]:
@@ -46,6 +47,4 @@ def report_documents(spark: SparkSession, silver_base: str, gold_base: str) -> d
         "revenue_by_category": revenue_by_category(lines, products),
         "customer_summary": customer_summary(lines, customers),
     }
-    for name, report in reports.items():
-        write_table(report, locate(gold_base, name))
-    return {name: read_parquet(spark, locate(gold_base, name)) for name in reports}
+    return {name: write_table(report, locate(gold_base, name)) for name, report in reports.items()}

@@ -14,7 +14,7 @@ from marlstone.operators.history import SILVER_CUSTOMERS, HistoryRules, first_lo
 from marlstone.operators.quality import enforce_null_limits
 from marlstone.operators.silver import silver_rows, stamp_silver
 from marlstone.plans.outcomes import Outcome, run_each
-from marlstone.sources.readers import locate, within_months
+from marlstone.sources.readers import locate, read_parquet, within_months
 from marlstone.sources.scratch import scratch_table
 from marlstone.sources.versions import Commit, last_commit, read_versions, state, write_version
 from marlstone.sources.writers import read_batches, write_table
@@ -53,9 +53,10 @@ def process_entity(
         rows = silver_rows(name, latest)
         if name == "customers":
             merge_into(rows, target, SILVER_CUSTOMERS, run, at)
+            stored = read_silver(spark, silver_base, name)
         else:
-            write_table(stamp_silver(rows, at), target, entity.partition_by)
-    return read_silver(spark, silver_base, name).count()
+            stored = write_table(stamp_silver(rows, at), target, entity.partition_by)
+    return stored.count()
 
 
 def merge_into(incoming: DataFrame, base: str, rules: HistoryRules, batch_id: str, at: datetime) -> Commit:
@@ -81,8 +82,14 @@ def read_history(spark: SparkSession, base: str, rules: HistoryRules) -> DataFra
     return rows if rules.current_flag else rows.drop("is_current")
 
 
-def read_silver(spark: SparkSession, silver_base: str, name: str, months=None) -> DataFrame:
-    """A silver table; ``months`` restricts orders to a range of their partitions."""
+def read_silver(
+    spark: SparkSession, silver_base: str, name: str, months=None, merge_schema: bool = False
+) -> DataFrame:
+    """A silver table; ``months`` restricts orders to a range of their partitions.
+
+    A run writes a table with one schema, so merging the schemas of its files,
+    which reads every footer, is only worth it where partitions were rebuilt.
+    """
     path = locate(silver_base, name)
     if name == "customers":
         last = last_commit(spark, path)
@@ -90,7 +97,7 @@ def read_silver(spark: SparkSession, silver_base: str, name: str, months=None) -
         return read_versions(spark, path, last).withColumn(
             "_silver_processed_at", moment(last.committed_at)
         )
-    return within_months(spark.read.option("mergeSchema", True).parquet(path), months)
+    return within_months(read_parquet(spark, path, merge_schema=merge_schema), months)
 
 
 def run_snapshot(staged_customers: DataFrame, base: str, rules: HistoryRules, batch_id: str, at: datetime):

@@ -33,22 +33,22 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return the table read back."""
-    spark = df.sparkSession
-    path = new_path(spark, label)
+    return _stored(df, new_path(df.sparkSession, label))
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
 def scratch_table(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """Like ``written``, for jobs that are done with the table at the end of the block."""
-    spark = df.sparkSession
-    path = new_path(spark, label)
-    df.write.parquet(path)
+    path = new_path(df.sparkSession, label)
     try:
-        yield spark.read.schema(df.schema).parquet(path)
+        yield _stored(df, path)
     finally:
-        remove(spark, path)
+        remove(df.sparkSession, path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

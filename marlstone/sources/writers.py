@@ -13,8 +13,8 @@ BATCH_FOLDER = "batch_folder"
 
 def write_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()
-) -> None:
-    """Replace the Parquet table at ``path``.
+) -> DataFrame:
+    """Replace the Parquet table at ``path`` and return the stored rows.
 
     A partitioned write is rebalanced on the partition columns first: small
     partitions share a task and get one file each, while a partition that holds
@@ -25,6 +25,7 @@ def write_table(
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def replace_months(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
@@ -43,11 +44,11 @@ def batch_path(base: str, table: str, batch_id: str) -> str:
     return locate(base, table, f"{BATCH_FOLDER}=id-{batch_id}")
 
 
-def add_batch(df: DataFrame, base: str, table: str, batch_id: str, partition_by: Sequence[str] = ()) -> str:
+def add_batch(
+    df: DataFrame, base: str, table: str, batch_id: str, partition_by: Sequence[str] = ()
+) -> DataFrame:
     """Append a batch as a folder of its own, so that a replay replaces it."""
-    path = batch_path(base, table, batch_id)
-    write_table(df, path, partition_by)
-    return path
+    return write_table(df, batch_path(base, table, batch_id), partition_by)
 
 
 def read_batches(spark: SparkSession, base: str, table: str) -> DataFrame:
@@ -83,19 +84,15 @@ def write_gold(
 
     CSV and count are taken from the finished Parquet files.
     """
-    spark, columns = df.sparkSession, df.columns
-    path = locate(gold_base, name)
-    write_table(df, path, partition_by, sort_by)
-    table = spark.read.schema(df.schema).parquet(path)
+    table = write_table(df, locate(gold_base, name), partition_by, sort_by)
     if csv_dir is not None:
-        write_csv(table.select(*columns), locate(csv_dir, name))
+        write_csv(table, locate(csv_dir, name))
     return table.count()
 
 
 def publish(df: DataFrame, view: str, path: str | None = None) -> DataFrame:
     """Make a model available to SQL: as a view, or as a stored table behind one."""
     if path is not None:
-        write_table(df, path)
-        df = df.sparkSession.read.schema(df.schema).parquet(path)
+        df = write_table(df, path)
     df.createOrReplaceTempView(view)
     return df
