@@ -31,23 +31,20 @@ def _plain(value):
     return value
 
 
-def _kind(values) -> set[str]:
-    return {type(v).__name__ for v in values if v is not None}
+TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE"}
 
 
 def differences(df, connection, sql: str) -> str | None:
     """None when columns, types and rows agree."""
+    described = {r[0]: r[1] for r in connection.execute(f"DESCRIBE {sql}").fetchall()}
+    found_types = {name: TYPES.get(kind, kind) for name, kind in df.dtypes}
+    if found_types != described:
+        return f"types {sorted(set(found_types.items()) ^ set(described.items()))}"
+    names = sorted(described)
     result = connection.execute(sql)
-    expected_columns = [d[0] for d in result.description]
-    if sorted(df.columns) != sorted(expected_columns):
-        return f"columns {sorted(df.columns)} != {sorted(expected_columns)}"
-    names = sorted(expected_columns)
-    at = [expected_columns.index(n) for n in names]
+    at = [list(described).index(n) for n in names]
     expected = [tuple(_plain(row[i]) for i in at) for row in result.fetchall()]
     found = [tuple(_plain(v) for v in row) for row in df.select(*[f"`{n}`" for n in names]).collect()]
-    for i, name in enumerate(names):
-        if _kind(r[i] for r in found) != _kind(r[i] for r in expected):
-            return f"{name}: types {_kind(r[i] for r in found)} != {_kind(r[i] for r in expected)}"
     extra, lost = Counter(found) - Counter(expected), Counter(expected) - Counter(found)
     if extra or lost:
         return (
