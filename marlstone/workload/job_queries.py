@@ -12,6 +12,7 @@ from marlstone.plans.bronze_job import QUARANTINE, ingest_entity
 from marlstone.plans.documents_job import flatten_documents, report_documents
 from marlstone.plans.gold_job import AGGREGATES, build_aggregate
 from marlstone.plans.silver_job import merge_into, process_entity, read_history, read_silver
+from marlstone.plans.warehouse import build_warehouse
 from marlstone.sources.readers import locate, read_csv
 from marlstone.sources.scratch import new_path
 from marlstone.sources.writers import (
@@ -261,6 +262,56 @@ def csv_sample(spark, folder):
     return rows.select(*[F.col(c).cast(t).alias(c) for c, t in orders.dtypes])
 
 
+def _warehouse(spark, folder) -> dict:
+    """The warehouse models built from CSV files."""
+    samples = new_path(spark, "samples")
+    inputs = {
+        "customers": "raw_customers",
+        "orders": "source_orders",
+        "order_items": "raw_order_items",
+        "products": "raw_products",
+    }
+    for name, source in inputs.items():
+        export_sample(load(spark, folder, source), locate(samples, f"{name}_sample.csv"), [])
+    return build_warehouse(spark, samples, new_path(spark, "warehouse"), "run-1", _at(1), AS_OF)
+
+
+_STAGED_INPUTS = {
+    "e_orders": mart_queries.STAGED_ORDERS_SQL,
+    "e_order_items": mart_queries.STAGED_ITEMS_SQL,
+    "e_products": mart_queries.STAGED_PRODUCTS_SQL,
+}
+
+
+@query(
+    "warehouse_job_daily_revenue",
+    with_inputs(
+        mart_queries.FCT_DAILY_SQL,
+        "source_orders",
+        "raw_order_items",
+        "raw_products",
+        **_STAGED_INPUTS,
+        **mart_queries.FCT_DAILY_PARTS,
+    ),
+)
+def warehouse_job_daily_revenue(spark, folder):
+    return _warehouse(spark, folder)["fct_daily_revenue"]
+
+
+@query(
+    "warehouse_job_customers",
+    with_inputs(
+        f"""SELECT md5(customer_id || '-{BATCH_TIMES[1]}') AS customer_key, *,
+              '{BATCH_TIMES[1]}' AS effective_from, CAST(NULL AS VARCHAR) AS effective_to,
+              true AS is_current, '{BATCH_TIMES[1]}' AS last_updated_at
+            FROM ({mart_queries.STAGED_CUSTOMERS_SQL})""",
+        "raw_customers",
+    ),
+)
+def warehouse_job_customers(spark, folder):
+    return _warehouse(spark, folder)["dim_customers"]
+
+
 def _documents(spark, folder):
     """The document pipeline run from JSON files to its reports."""
     source, silver, gold = (new_path(spark, label) for label in ("docs", "docs-silver", "docs-gold"))

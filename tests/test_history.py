@@ -1,7 +1,9 @@
 """Type-2 histories over hand-made batches."""
 
 import datetime as dt
+import random
 import re
+from dataclasses import replace
 
 import pytest
 
@@ -14,6 +16,7 @@ from marlstone.operators.history import (
     merge_history,
 )
 from marlstone.plans.silver_job import merge_into, read_history
+from marlstone.sources.scratch import written
 from marlstone.sources.versions import last_commit, read_versions
 
 COLUMNS = (
@@ -175,3 +178,33 @@ def test_surrogate_keys_differ_per_version(spark):
     dimension = customer_dimension(wide)
     assert dimension.select("customer_key").distinct().count() == 3
     assert dimension.filter("is_current").count() == 2
+
+
+def simulate(batches, closes_absent):
+    """Versions as (key, city, opened by, closed by), by walking through the batches."""
+    done, current = [], {}
+    for n, batch in enumerate(batches):
+        for key in list(current):
+            city, opened = current[key]
+            if (key not in batch and closes_absent) or (key in batch and batch[key] != city):
+                done.append((key, city, opened, n))
+                del current[key]
+        for key, city in batch.items():
+            current.setdefault(key, (city, n))
+    return sorted(done + [(k, c, o, None) for k, (c, o) in current.items()], key=str)
+
+
+@pytest.mark.parametrize("closes_absent", [False, True])
+def test_random_batches_by_brute_force(spark, closes_absent):
+    chance = random.Random(7)
+    batches = [
+        {k: chance.choice("ab") for k in range(300) if chance.random() < 0.7} for _ in range(len(T))
+    ]
+    rules = replace(CUSTOMER_SNAPSHOT, closes_absent=closes_absent)
+    frames = [frame(spark, *[person(k, city=c) for k, c in batch.items()]) for batch in batches]
+    dimension = first_load(frames[0], rules, T[0])
+    for rows, at in zip(frames[1:], T[1:]):
+        dimension = merge_history(written(dimension, "history"), rows, rules, at)
+    number = {at: n for n, at in enumerate(T)} | {None: None}
+    got = [(r.customer_id, r.city, number[r.dbt_valid_from], number[r.dbt_valid_to]) for r in dimension.collect()]
+    assert sorted(got, key=str) == simulate(batches, closes_absent)

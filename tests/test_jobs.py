@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from marlstone.operators.quality import DataQualityError
 from marlstone.plans.bronze_job import ingest_entity, run_bronze
+from marlstone.plans.cli import main
 from marlstone.plans.gold_job import run_gold
 from marlstone.plans.outcomes import exit_status, run_each
 from marlstone.plans.silver_job import process_entity, read_silver, run_silver
@@ -253,3 +254,20 @@ def test_warehouse_from_csv(spark, tmp_path):
 def test_run_each_reports_the_message():
     (outcome,) = run_each(["x"], lambda _: 1 / 0)
     assert not outcome.ok and "division" in outcome.detail
+
+
+def test_command_line(spark, raw, tmp_path):
+    bronze, silver, gold = (str(tmp_path / n) for n in ("bronze", "silver", "gold"))
+    write_array(f"{raw}/customers.json", [customer(1), customer(2)])
+    write_array(f"{raw}/products.json", [product(1)])
+    write_array(f"{raw}/orders.json", [order(1)])
+    write_array(f"{raw}/order_items.json", [item(1)])
+    ingest = ["bronze", "--source-base", raw, "--bronze-base", bronze, "--batch-id", "b", "--as-of", "2024-06-01"]
+    assert main(ingest) == 0
+    assert main(["silver", "--bronze-base", bronze, "--silver-base", silver, "--run-id", "r"]) == 0
+    assert main(["gold", "--silver-base", silver, "--gold-base", gold, "--aggregates", "clv", "funnel"]) == 0
+    assert spark.read.parquet(f"{gold}/customer_lifetime_value").count() == 2
+    assert main(["gold", "--silver-base", str(tmp_path / "none"), "--gold-base", gold]) == 1
+    with pytest.raises(SystemExit):
+        main(["silver", "--bronze-base", bronze, "--silver-base", silver, "--entities", "invoices"])
+    spark.conf.unset("spark.sql.adaptive.forceOptimizeSkewedJoin")
