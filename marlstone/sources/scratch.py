@@ -11,6 +11,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,9 +23,12 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    named = tempfile.mkdtemp(prefix="marlstone-")
-    spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    return _private_folder()
+
+
+@cache
+def _private_folder() -> str:
+    return tempfile.mkdtemp(prefix="marlstone-")
 
 
 def new_path(spark: SparkSession, label: str) -> str:

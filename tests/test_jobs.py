@@ -15,6 +15,7 @@ from marlstone.plans.outcomes import exit_status, run_each
 from marlstone.plans.silver_job import process_entity, read_silver, run_silver
 from marlstone.plans.warehouse import build_warehouse
 from marlstone.sources.readers import read_csv, read_if_present, read_json
+from marlstone.sources.scratch import shared_folder
 from marlstone.sources.writers import export_sample, read_batches, replace_months, write_table
 from marlstone.streaming.arrivals import ingest_arrivals
 
@@ -251,6 +252,25 @@ def test_warehouse_from_csv(spark, tmp_path):
     assert {(r.customer_id, r.is_current) for r in again["dim_customers"].collect()} == {(1, True), (2, False)}
 
 
+class Unconfigured:
+    """A session without a shared folder."""
+
+    def __init__(self, master):
+        self.sparkContext = type("Context", (), {"master": master})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Unconfigured("spark://host:7077"))
+    private = shared_folder(Unconfigured("local[2]"))
+    assert os.path.isdir(private) and private == shared_folder(Unconfigured("local[2]"))
+
+
+def test_shared_folder_is_the_configured_one(spark):
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
 def test_run_each_reports_the_message():
     (outcome,) = run_each(["x"], lambda _: 1 / 0)
     assert not outcome.ok and "division" in outcome.detail
