@@ -36,21 +36,17 @@ def plan_records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     response, the others revisit it; where rows share that page_id, one of them is.  A null html is an empty payload.
     A null page_id is never an original if its payload has another one.
     """
+    key = ["id_or_0", "no_id", "hex_digest"]  # joins and windows share one shuffle of the payloads
     pages = pages.select("page_id", "url", F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"))
     pages = pages.withColumn("hex_digest", F.sha1("payload")).withColumn("size", F.octet_length("payload"))
-    headers = pages.filter(F.col("size") >= min_bytes).select("page_id", "hex_digest")
+    pages = pages.withColumns({"id_or_0": F.coalesce("page_id", F.lit(0)), "no_id": F.col("page_id").isNull()})
+    headers = pages.filter(F.col("size") >= min_bytes).select("page_id", *key)
     first = headers.groupBy("hex_digest").agg(F.min("page_id").alias("first_id"))
-    known = (
-        headers.groupBy("page_id", "hex_digest")
-        .count()
-        .join(first, "hex_digest")
-        .select(F.col("page_id").alias("known_id"), F.col("hex_digest").alias("known_digest"), "first_id")
-    )
-    same = F.col("page_id").eqNullSafe(F.col("known_id")) & (F.col("hex_digest") == F.col("known_digest"))
-    copy = F.row_number().over(Window.partitionBy("page_id", "hex_digest").orderBy(F.col("url").asc_nulls_last()))
-    original = F.col("known_digest").isNull() | (F.col("page_id").eqNullSafe(F.col("first_id")) & (F.col("copy") == 1))
+    known = headers.select(*key).distinct().join(first, "hex_digest").withColumn("known", F.lit(True))
+    copy = F.row_number().over(Window.partitionBy(*key).orderBy(F.col("url").asc_nulls_last()))
+    original = F.col("known").isNull() | (F.col("page_id").eqNullSafe(F.col("first_id")) & (F.col("copy") == 1))
     return (
-        pages.join(known, same, "left")
+        pages.join(known, key, "left")
         .withColumn("copy", copy)
         .withColumn("record_type", F.when(original, "response").otherwise("revisit"))
         .select(

@@ -10,11 +10,18 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marlstone.llm.archives import archive
+from marlstone.llm.bit_slices import search
 from marlstone.llm.common import ship, table
+from marlstone.llm.decontaminate import leaks
+from marlstone.llm.credentials import scan
+from marlstone.llm.part_enum import groups
+from marlstone.llm.templates import main_text
 from marlstone.llm.token_files import token_files
 from marlstone.llm.trie_bpe import encode_decode
+from marlstone.llm.url_rules import judge
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -51,11 +58,59 @@ def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files(table(spark, folder, "documents"), vocabulary(), end_id=2)
 
 
+OP2_SQL = """
+WITH usable AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS q
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS query_id, b.vec_id,
+        CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM usable a JOIN usable b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op2_bit_slices", OP2_SQL)
+def op2_bit_slices(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return search(vectors, vectors.filter(F.col("vec_id") % 100 == 0), 10)
+
+
 @query("op3_trie_bpe")
 def op3_trie_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encode_decode(table(spark, folder, "documents"), vocabulary())
 
 
+@query("op4_linked_secrets")
+def op4_linked_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return scan(table(spark, folder, "documents"))
+
+
+@query("op5_url_rules")
+def op5_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return judge(table(spark, folder, "pages"))
+
+
+@query("op6_page_templates")
+def op6_page_templates(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text(table(spark, folder, "pages"))
+
+
+@query("op7_part_enum")
+def op7_part_enum(spark: SparkSession, folder: str) -> DataFrame:
+    found = groups(table(spark, folder, "documents"), n=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query("op8_spaced_seeds")
+def op8_spaced_seeds(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query("op10_warc_revisits")
 def op10_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
     records = archive(table(spark, folder, "pages"), min_bytes=0)

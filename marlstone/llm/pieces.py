@@ -16,54 +16,71 @@ EncodeMany = Callable[[Sequence[str]], Iterable[bytes]]
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
+class _Memory(dict):
+    """Ids by piece; a piece that is not known answers None and is noted."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: dict[str, None] = {}
+
+    def __missing__(self, piece: str) -> None:
+        self.new[piece] = None
+
+
 class PieceEncoder:
-    """Ids of texts as little-endian bytes; remembers at most ``limit`` pieces and then starts anew."""
+    """Ids of texts as little-endian bytes; remembers about ``limit`` pieces and then starts anew."""
 
-    def __init__(self, encode_many: EncodeMany, limit: int = 400_000):
+    def __init__(self, encode_many: EncodeMany, limit: int = 1_000_000):
         self._encode_many = encode_many
         self._limit = limit
         self._clear()
 
     def _clear(self) -> None:
-        self._spaced: dict[str, bytes] = {}  # ids of " " + piece
-        self._bare: dict[str, bytes] = {"\n": next(iter(self._encode_many(["\n"])))}
+        self._spaced, self._bare = _Memory(), _Memory()  # ids of " " + piece, ids of the piece itself
+        self._bare["\n"] = next(iter(self._encode_many(["\n"])))
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         if len(self._spaced) + len(self._bare) > self._limit:
             self._clear()
-        plans = [self._plan(text) for text in texts]
-        self._learn(plans)
-        newline, spaced = self._bare["\n"], self._spaced.__getitem__
+        plans = [self._read(text) for text in texts]
+        unsafe = self._learn()
+        if unsafe:
+            for i, text in enumerate(texts):
+                if any(p in unsafe for line in text.split("\n") for p in line.split(" ")):
+                    head, *rest = _SAFE_SPACE.split(text)
+                    plans[i] = [(head, self._bare[head], rest, [*map(self._spaced.__getitem__, rest)])]
+            self._learn(safe=True)
+        newline, spaced, bare = self._bare["\n"], self._spaced, self._bare
         out = []
         for lines in plans:
             parts = []
-            for head, rest in lines:
-                parts.append(newline)
-                parts.append(self._bare[head])
-                parts.extend(map(spaced, rest))
+            for head, head_ids, rest, ids in lines:
+                parts += (newline, bare[head] if head_ids is None else head_ids)
+                parts += [spaced[p] if i is None else i for p, i in zip(rest, ids)] if None in ids else ids
             out.append(b"".join(parts[1:]))
         return out
 
-    def _plan(self, text: str) -> list[tuple[str, list[str]]]:
-        """Lines as their first piece and the further ones, which follow a space."""
-        if not text:
-            return []
-        spaced, bare, lines = self._spaced, self._bare, []
-        for line in text.split("\n"):
+    def _read(self, text: str) -> list[tuple[str, bytes | None, list[str], list[bytes | None]]]:
+        """Lines of a text: first piece and its ids, further pieces, which follow a space, and theirs."""
+        lines = []
+        for line in text.split("\n") if text else ():
             head, *rest = line.split(" ")
-            if (head not in bare and head.strip() != head) or not head:
-                break
-            if any(not p or p.strip() != p for p in rest if p not in spaced):
-                break
-            lines.append((head, rest))
-        else:
-            return lines
-        head, *rest = _SAFE_SPACE.split(text)
-        return [(head, rest)]
-
-    def _learn(self, plans) -> None:
-        bare = {head for lines in plans for head, _ in lines if head not in self._bare}
-        spaced = {p for lines in plans for _, rest in lines for p in rest if p not in self._spaced}
-        for known, new, prefix in ((self._bare, list(bare), ""), (self._spaced, list(spaced), " ")):
-            if new:
-                known.update(zip(new, self._encode_many([prefix + p for p in new]), strict=True))
+            lines.append((head, self._bare[head], rest, [*map(self._spaced.__getitem__, rest)]))
+        return lines
+
+    def _learn(self, safe: bool = False) -> set[str]:
+        """Encode what was noted; pieces that are empty or have white space at an end are returned instead."""
+        unsafe = set()
+        for known, prefix in ((self._bare, ""), (self._spaced, " ")):
+            new, known.new = list(known.new), {}
+            if not safe:
+                unsafe.update(p for p in new if p.strip() != p or not p)
+                new = [p for p in new if p not in unsafe]
+            # A Latin word and the punctuation behind it are encoded apart.
+            cores = {p: core for p in new if (core := p.rstrip(".,;:!?")) != p and core.isalpha() and max(core) < "\u0250"}
+            alone = [p for p in {cores.get(p, p) for p in new} if p not in known]
+            known.update(zip(alone, self._encode_many([prefix + p for p in alone]), strict=True))
+            ends = [p for p in {p[len(core) :] for p, core in cores.items()} if p not in self._bare]
+            self._bare.update(zip(ends, self._encode_many(ends), strict=True))
+            known.update((p, known[core] + self._bare[p[len(core) :]]) for p, core in cores.items())
+        return unsafe

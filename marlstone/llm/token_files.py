@@ -20,6 +20,7 @@ repeated or lost attempt leaves files that nothing refers to.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,10 +49,11 @@ def library_encoder(path: str, dtype: str) -> PieceEncoder:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
+        code = {"uint16": "H", "uint32": "I"}[dtype]
 
         def encode_many(texts):
             found = tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
-            return (np.array(e.ids, dtype).tobytes() for e in found)
+            return (array(code, e.ids).tobytes() for e in found)
 
         _ENCODERS[path, dtype] = PieceEncoder(encode_many)
     return _ENCODERS[path, dtype]
@@ -161,14 +163,11 @@ def write_shards(
         encoder, writer, first = library_encoder(tokenizer, dtype), None, None
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                names = part.column(0).to_pylist()
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                if writer is None:
-                    writer = ShardWriter(folder, length, rows, dtype, end_id)
-                    first = (names[0], part.column(2)[0].as_py())
-                for name, ids in zip(names, encoder.encode(texts), strict=True):
-                    writer.add(name, ids)
+                for row in batch.slice(at, 256).to_pylist():
+                    if writer is None:
+                        writer = ShardWriter(folder, length, rows, dtype, end_id)
+                        first = (row["doc_id"], row["row"])
+                    writer.add(row["doc_id"], encoder.encode([row["text"] or ""])[0])
         if writer is not None:
             writer.close()
             row = [*first, writer.ids_file, writer.docs_file, writer.n_docs, writer.n_ids]

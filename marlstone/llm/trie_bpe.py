@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -130,7 +131,7 @@ class TrieBpe:
         new = {w for words in split for w in words if w not in self._known and w not in self.specials}
         ids = self.encode_words([w.encode() for w in new])
         known = self._known
-        known.update((w, np.array(ids[w.encode()], "<u4").tobytes()) for w in new)
+        known.update((w, array("I", ids[w.encode()]).tobytes()) for w in new)
         for s, i in self.specials.items():
             known[s] = np.array([i], "<u4").tobytes()
         return [b"".join([known[w] for w in words]) for words in split]
@@ -170,8 +171,8 @@ def encode_decode(docs: DataFrame, tokenizer: str, *, keep_ids: bool = False) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, encoder = codec(tokenizer)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 32):
+                part = batch.slice(at, 32)
                 ids = encoder.encode([t or "" for t in part.column(1).to_pylist()])
                 texts = [bpe.decode(x) for x in ids]
                 columns = {
