@@ -20,6 +20,7 @@ from marlstone.llm.credentials import scan
 from marlstone.llm.part_enum import groups
 from marlstone.llm.templates import main_text
 from marlstone.llm.token_files import token_files
+from marlstone.llm.toxicity import toxicity
 from marlstone.llm.trie_bpe import encode_decode
 from marlstone.llm.url_rules import judge
 
@@ -111,6 +112,11 @@ def op8_spaced_seeds(spark: SparkSession, folder: str) -> DataFrame:
     return leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query("op10_warc_revisits")
 def op10_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
     records = archive(table(spark, folder, "pages"), min_bytes=0)
