@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 
 from marlstone.llm.common import broadcast_if_small, row_key, written
 from marlstone.llm.components import components, moved
+from marlstone.sources.scratch import scratch_table
 
-PIVOTS = (1, 32, 1024)  # members a signature's others are checked against in each round; the last number repeats
+PIVOTS = (8, 64, 1024)  # members a signature's others are checked against in each round; the last number repeats
 SMALL = 24  # bands up to this size leave one of three second-level parts out, others one of two
 
 
@@ -185,7 +186,7 @@ def _elements(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())], ["node", "elements"])
 
     texts = docs.select(*row_key(), "text").join(broadcast_if_small(wanted), keys).select("node", "text")
-    return texts.mapInArrow(run, "node long, elements binary").dropDuplicates(["node"])
+    return texts.mapInArrow(run, "node long, elements binary")
 
 
 def groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -197,44 +198,54 @@ def groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     components and rows apart where doc_ids repeat or are null.  Documents without words, and null texts, link with
     nothing.  Further columns are not read; an empty table gives no rows.
     """
-    sets = written(_sets(docs, n, percent), "sets")
-    exploded = sets.select(F.explode("signatures").alias("signature"), "node", F.col("n_shingles").alias("size"))
-    in_order = Window.partitionBy("signature").orderBy("node")
-    first, before = F.first("node").over(in_order), F.lag("node").over(in_order)
-    members = (
-        exploded.select("*", first.alias("pivot"), F.first("size").over(in_order).alias("pivot_size"), before.alias("before"))
-        .filter((F.col("node") != F.col("pivot")) & (F.col("node") != F.col("before")))
-        .drop("before")
-    )
-    members = written(members, "members")  # of signatures that several sets share; the smallest node is the pivot
-    ends = members.select("node").unionByName(members.select(F.col("pivot").alias("node"))).distinct()
-    wanted = sets.groupBy("node").agg(F.min(F.struct("key_id", "key_hash")).alias("key")).join(ends, "node")
-    wanted = written(wanted.select("node", "key.*"), "wanted")
-    elements = written(_elements(docs, wanted, n), "elements")
-
-    similar_sizes = 100 * F.least("a_size", "b_size") >= percent * F.greatest("a_size", "b_size")
-    pairs = members.select(
-        F.col("pivot").alias("a"), F.col("node").alias("b"), F.col("pivot_size").alias("a_size"), F.col("size").alias("b_size")
-    )
-    rest = members.select("signature", "node", "size")
+    keys = ["key_id", "key_hash"]
+    with scratch_table(_sets(docs, n, percent), "signatures") as made:  # wide, and gone after this block
+        exploded = made.select(F.explode("signatures").alias("signature"), "node")
+        in_order = Window.partitionBy("signature").orderBy("node")
+        members = (
+            exploded.select("*", F.first("node").over(in_order).alias("pivot"), F.lag("node").over(in_order).alias("before"))
+            .filter((F.col("node") != F.col("pivot")) & (F.col("node") != F.col("before")))
+            .drop("before")
+        )
+        members = written(members, "members")  # of signatures that several sets share; the smallest node is the pivot
+        sets = written(made.drop("signatures"), "sets")
+    pivots = members.select("signature", F.col("pivot").alias("node")).distinct()
+    sizes = sets.groupBy("node").agg(F.first("n_shingles").alias("size"), F.min(F.struct(*keys)).alias("key"))
+    ends = members.select("node").unionByName(pivots.select("node")).distinct()
+    nodes = written(sizes.join(ends, "node"), "nodes")
+    wanted = nodes.select("node", "key.*")
+    repeated = sets.groupBy(*keys).count().filter("count > 1").join(wanted, keys, "left_semi")
+    elements = _elements(docs, wanted, n)
+    elements = written(elements if repeated.isEmpty() else elements.dropDuplicates(["node"]), "elements")
+
+    def near_in_size(pairs: DataFrame) -> DataFrame:
+        for end in ("a", "b"):
+            pairs = pairs.join(nodes.select(F.col("node").alias(end), F.col("size").alias(f"{end}_size")), end)
+        least, most = F.least("a_size", "b_size"), F.greatest("a_size", "b_size")
+        return pairs.filter(100 * least >= percent * most).select("a", "b")
+
+    # First each set is checked against one pivot only, which joins most groups of copies.
+    pairs = near_in_size(members.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct())
+    pairs = pairs.groupBy("b").agg(F.min("a").alias("a"))
+    rest = members.select("signature", "node").unionByName(pivots)
     labels, done = None, 0
     while True:
-        links = written(_checked(pairs.filter(similar_sizes).select("a", "b").distinct(), elements, percent), "links")
+        links = written(_checked(pairs, elements, percent), "links")
         labels = _merged(labels, links)
-        done += 1
         rest = _apart(rest, labels)
         if rest.isEmpty():
             break
         n_pivots = PIVOTS[min(done, len(PIVOTS) - 1)]
+        done += 1
         ranked = written(rest.withColumn("rank", F.row_number().over(Window.partitionBy("signature").orderBy("node"))), "ranked")
         ahead = ranked.filter(F.col("rank") <= n_pivots).select(
-            "signature", F.col("node").alias("a"), F.col("size").alias("a_size"), F.col("rank").alias("a_rank"), F.col("comp").alias("a_comp")
+            "signature", F.col("node").alias("a"), F.col("rank").alias("a_rank"), F.col("comp").alias("a_comp")
         )
         pairs = ahead.join(ranked, "signature").filter((F.col("a_rank") < F.col("rank")) & (F.col("a_comp") != F.col("comp")))
-        pairs = pairs.select("a", F.col("node").alias("b"), "a_size", F.col("size").alias("b_size"))
-        rest = ranked.filter(F.col("rank") > n_pivots).select("signature", "node", "size")
+        pairs = near_in_size(pairs.select("a", F.col("node").alias("b")).distinct())
+        rest = ranked.filter(F.col("rank") > n_pivots).select("signature", "node")
     comp = F.when(F.col("n_shingles") > 0, F.coalesce("comp", "node"))
-    placed = sets.drop("signatures").join(labels, "node", "left").withColumn("comp", comp)
+    placed = sets.join(labels, "node", "left").withColumn("comp", comp)
     placed = written(placed, "placed")
     smallest = placed.filter(F.col("comp").isNotNull()).groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     return placed.join(smallest, "comp", "left").select(
@@ -261,7 +272,7 @@ def _apart(rest: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of signatures whose members are not all in one component."""
     placed = rest.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     mixed = placed.groupBy("signature").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high")
-    return written(placed.join(mixed.select("signature"), "signature").select("signature", "node", "size", "comp"), "apart")
+    return written(placed.join(mixed.select("signature"), "signature").select("signature", "node", "comp"), "apart")
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
