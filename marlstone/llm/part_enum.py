@@ -13,7 +13,8 @@ so many empty places that all places of agreement could be empty.
 
 Sets with a common signature are compared through pivots: all members of a
 signature are checked against one, connected ones are merged, and only those
-that are still apart are checked again, against more pivots each round.  Equal
+that are still apart are checked again, against more pivots each round.  Sizes
+and sketches, which bound the difference from below, spare most comparisons.  Equal
 sets are one node from the start.  So groups of copies cost in proportion to
 their size, and every pair that could link two components is checked.
 """
@@ -125,7 +126,13 @@ def _node(found: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(found.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-SETS = "key_id long, key_hash long, doc_id long, n_shingles long, node long, signatures array<long>"
+def _sketch(found: np.ndarray) -> np.ndarray:
+    """Parities of the elements dealt to 1024 places; two sets differ in at least as many elements as parities."""
+    odd = np.bincount((found >> np.uint64(54)).astype(np.int64), minlength=1024) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+SETS = "key_id long, key_hash long, doc_id long, n_shingles long, node long, sketch array<long>, signatures array<long>"
 
 
 def _sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -136,7 +143,7 @@ def _sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                sizes, nodes, signatures = [], [], []
+                sizes, nodes, sketches, signatures = [], [], [], []
                 for text in part.column(3):
                     found = shingles(text.as_py(), n)
                     node = _node(found)
@@ -147,11 +154,11 @@ def _sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
                         seen.add(node)
                     sizes.append(len(found))
                     nodes.append(node)
+                    sketches.append(_sketch(found))
                     signatures.append(bands.signatures(found).view(np.int64) if new else None)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:3], pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(signatures, pa.list_(pa.int64()))],
-                    ["key_id", "key_hash", "doc_id", "n_shingles", "node", "signatures"],
-                )
+                longs = pa.list_(pa.int64())
+                added = [pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, longs), pa.array(signatures, longs)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], *added], [c.split()[0] for c in SETS.split(", ")])
 
     return docs.select(*row_key(), "doc_id", "text").mapInArrow(run, SETS)
 
@@ -210,7 +217,7 @@ def groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         members = written(members, "members")  # of signatures that several sets share; the smallest node is the pivot
         sets = written(made.drop("signatures"), "sets")
     pivots = members.select("signature", F.col("pivot").alias("node")).distinct()
-    sizes = sets.groupBy("node").agg(F.first("n_shingles").alias("size"), F.min(F.struct(*keys)).alias("key"))
+    sizes = sets.groupBy("node").agg(F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch"), F.min(F.struct(*keys)).alias("key"))
     ends = members.select("node").unionByName(pivots.select("node")).distinct()
     nodes = written(sizes.join(ends, "node"), "nodes")
     wanted = nodes.select("node", "key.*")
@@ -218,14 +225,19 @@ def groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     elements = _elements(docs, wanted, n)
     elements = written(elements if repeated.isEmpty() else elements.dropDuplicates(["node"]), "elements")
 
-    def near_in_size(pairs: DataFrame) -> DataFrame:
+    def may_link(pairs: DataFrame) -> DataFrame:
+        """Without the pairs whose sizes or sketches already differ too much."""
         for end in ("a", "b"):
-            pairs = pairs.join(nodes.select(F.col("node").alias(end), F.col("size").alias(f"{end}_size")), end)
+            own = nodes.select(F.col("node").alias(end), F.col("size").alias(f"{end}_size"), F.col("sketch").alias(f"{end}_sketch"))
+            pairs = pairs.join(own, end)
         least, most = F.least("a_size", "b_size"), F.greatest("a_size", "b_size")
-        return pairs.filter(100 * least >= percent * most).select("a", "b")
+        odd = F.zip_with("a_sketch", "b_sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+        differ = F.aggregate(odd, F.lit(0), lambda x, y: x + y)
+        possible = (100 + percent) * differ <= (100 - percent) * (least + most)
+        return pairs.filter((100 * least >= percent * most) & possible).select("a", "b")
 
     # First each set is checked against one pivot only, which joins most groups of copies.
-    pairs = near_in_size(members.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct())
+    pairs = may_link(members.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct())
     pairs = pairs.groupBy("b").agg(F.min("a").alias("a"))
     rest = members.select("signature", "node").unionByName(pivots)
     labels, done = None, 0
@@ -242,10 +254,10 @@ def groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
             "signature", F.col("node").alias("a"), F.col("rank").alias("a_rank"), F.col("comp").alias("a_comp")
         )
         pairs = ahead.join(ranked, "signature").filter((F.col("a_rank") < F.col("rank")) & (F.col("a_comp") != F.col("comp")))
-        pairs = near_in_size(pairs.select("a", F.col("node").alias("b")).distinct())
+        pairs = may_link(pairs.select("a", F.col("node").alias("b")).distinct())
         rest = ranked.filter(F.col("rank") > n_pivots).select("signature", "node")
     comp = F.when(F.col("n_shingles") > 0, F.coalesce("comp", "node"))
-    placed = sets.join(labels, "node", "left").withColumn("comp", comp)
+    placed = sets.drop("sketch").join(labels, "node", "left").withColumn("comp", comp)
     placed = written(placed, "placed")
     smallest = placed.filter(F.col("comp").isNotNull()).groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     return placed.join(smallest, "comp", "left").select(
