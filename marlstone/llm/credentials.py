@@ -207,5 +207,8 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     kept = F.zip_with(starts, ends, lambda a, b: F.substring(F.col("text"), (a + 1).cast("int"), (b - a).cast("int")))
     text = F.when(F.col("cuts").isNull(), F.col("text")).otherwise(F.array_join(kept, mark))
     out = docs.withColumns(dict(zip(keys, row_key(), strict=True))).join(broadcast_if_small(cuts), keys, "left")
-    changed = {"text": text} | ({"n_chars": F.char_length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
+    changed = {"text": text}
+    if "n_chars" in docs.columns:
+        gained = F.aggregate("cuts", F.lit(0).cast("bigint"), lambda n, c: n + len(mark) - (c["end"] - c["start"]))
+        changed["n_chars"] = (F.char_length("text") + F.coalesce(gained, F.lit(0))).cast(docs.schema["n_chars"].dataType)
     return out.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
