@@ -16,6 +16,11 @@ from marlstone.plans.silver_job import run_silver
 from marlstone.plans.warehouse import build_warehouse
 
 
+def _month(text: str) -> tuple[int, int]:
+    first = date.fromisoformat(f"{text}-01")
+    return first.year, first.month
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="marlstone", description=__doc__)
     top.add_argument("--conf", action="append", default=[], metavar="KEY=VALUE", help="Spark setting")
@@ -42,6 +47,9 @@ def parser() -> argparse.ArgumentParser:
     gold.add_argument("--csv-dir")
     gold.add_argument("--aggregates", nargs="+", choices=list(AGGREGATES))
     gold.add_argument("--as-of", type=date.fromisoformat)
+    gold.add_argument(
+        "--months", nargs=2, type=_month, metavar="YYYY-MM", help="refresh only the months from the first to the second"
+    )
 
     warehouse = layers.add_parser("warehouse", help="sample CSV files to marts")
     warehouse.add_argument("--samples-path", required=True)
@@ -76,7 +84,13 @@ def main(arguments: list[str] | None = None) -> int:
         )
     elif args.layer == "gold":
         outcomes = run_gold(
-            spark, args.silver_base, args.gold_base, args.csv_dir, args.aggregates, as_of=args.as_of
+            spark,
+            args.silver_base,
+            args.gold_base,
+            args.csv_dir,
+            args.aggregates,
+            as_of=args.as_of,
+            months=args.months,
         )
     elif args.layer == "warehouse":
         at = datetime.now(timezone.utc)

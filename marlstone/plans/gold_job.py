@@ -8,7 +8,9 @@ from marlstone.entities import choose
 from marlstone.operators import gold
 from marlstone.plans.outcomes import Outcome, run_each
 from marlstone.plans.silver_job import read_silver
-from marlstone.sources.writers import write_gold
+from marlstone.sources.readers import locate
+from marlstone.sources.scratch import exists
+from marlstone.sources.writers import refresh_gold, write_gold
 
 
 def daily_revenue(spark: SparkSession, silver_base: str, as_of=None, months=None) -> DataFrame:
@@ -59,13 +61,20 @@ def build_aggregate(
     as_of=None,
     months=None,
 ) -> int:
-    """Build and store one aggregate; returns its row count.
+    """Build and store one aggregate; returns the number of rows built.
 
-    ``months`` limits the monthly aggregates to a range of order partitions.
+    ``months``, a first and a last (year, month), refreshes only those partitions of a stored monthly aggregate; a
+    month without rows any more is emptied, the others stay.  The CSV export is then taken from the whole table.
+    Aggregates that need all history cannot be refreshed by month.
     """
     build, table, partition_by, sort_by = AGGREGATES[name]
+    if months is not None and partition_by != ("order_year", "order_month"):
+        raise ValueError(f"{name} needs all months")
     df = build(spark, silver_base, as_of, months)
-    return write_gold(df, table, gold_base, csv_dir, partition_by, sort_by)
+    path = locate(gold_base, table)
+    if months is None or not exists(spark, path):
+        return write_gold(df, table, gold_base, csv_dir, partition_by, sort_by)
+    return refresh_gold(df, table, gold_base, csv_dir, months, sort_by)
 
 
 def run_gold(

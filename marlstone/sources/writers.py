@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from marlstone.sources.readers import locate
+from marlstone.sources.scratch import remove, scratch_table
 
 BATCH_FOLDER = "batch_folder"
 
@@ -28,11 +29,15 @@ def write_table(
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def replace_months(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+def replace_months(
+    df: DataFrame, path: str, partition_by: Sequence[str], sort_by: Sequence[str] = ()
+) -> None:
     """Rebuild only the partitions present in ``df``; the others stay."""
+    df = df.hint("rebalance", *partition_by)
+    if sort_by:
+        df = df.sortWithinPartitions(*partition_by, *sort_by)
     (
-        df.hint("rebalance", *partition_by)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
@@ -90,6 +95,29 @@ def write_gold(
     return table.count()
 
 
+def refresh_gold(
+    df: DataFrame, name: str, gold_base: str, csv_dir: str | None, months, sort_by: Sequence[str] = ()
+) -> int:
+    """Replace the months of a range in a gold table by the rows of ``df``, which are of that range.
+
+    The new rows are stored before anything is replaced.  Months of the range that have no rows are removed.
+    """
+    spark, path, keys = df.sparkSession, locate(gold_base, name), ("order_year", "order_month")
+    with scratch_table(df, f"refresh-{name}") as fresh:
+        present = {(r.order_year, r.order_month) for r in fresh.select(*keys).distinct().collect()}
+        if present:
+            replace_months(fresh, path, keys, sort_by)
+        (year, month), last = months
+        while (year, month) <= tuple(last):
+            if (year, month) not in present:
+                remove(spark, f"{path}/order_year={year}/order_month={month}")
+            year, month = (year, month + 1) if month < 12 else (year + 1, 1)
+        if csv_dir is not None:
+            stored = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+            write_csv(stored, locate(csv_dir, name))
+        return fresh.count()
+
+
 def publish(df: DataFrame, view: str, path: str | None = None) -> DataFrame:
     """Make a model available to SQL: as a view, or as a stored table behind one."""
     if path is not None:

@@ -202,6 +202,19 @@ def gold_job_funnel(spark, folder):
     return _gold(spark, folder, "funnel", "orders")
 
 
+@query("gold_job_months", gold_queries.FUNNEL_SQL)
+def gold_job_months(spark, folder):
+    """A full build over orders that are wrong in two years, then a refresh of those years with the right ones."""
+    silver, gold, keys = new_path(spark, "silver"), new_path(spark, "gold"), ("order_year", "order_month")
+    orders = load(spark, folder, "orders")
+    wrong = orders.withColumn("status", F.when(F.col("order_year").isin(1996, 1997), "wrong").otherwise(F.col("status")))
+    write_table(wrong, locate(silver, "orders"), keys)
+    build_aggregate(spark, "funnel", silver, gold)
+    write_table(orders, locate(silver, "orders"), keys)
+    build_aggregate(spark, "funnel", silver, gold, months=((1996, 1), (1997, 12)))
+    return spark.read.parquet(locate(gold, "conversion_funnel"))
+
+
 @query("gold_job_cohort", gold_queries.COHORT_SQL)
 def gold_job_cohort(spark, folder):
     return _gold(spark, folder, "cohort", "orders")

@@ -174,6 +174,30 @@ def test_layers_end_to_end(spark, raw, tmp_path):
     assert not [n for n in os.listdir(shared) if n.startswith("dedup-")]
 
 
+def test_gold_refresh_keeps_other_months(spark, raw, tmp_path):
+    bronze, silver, gold, csv = (str(tmp_path / n) for n in ("bronze", "silver", "gold", "csv"))
+    dates = {1: "2024-03-05", 2: "2024-04-05", 3: "2024-05-05"}
+
+    def store(days):
+        rows = [order(k, order_date=d, order_timestamp=f"{d} 10:00:00") for k, d in days.items()]
+        write_array(f"{raw}/orders.json", rows)
+        run_bronze(spark, raw, bronze, ["orders"], batch_id="b1", ingested_at="2024-06-01 00:00:00")
+        run_silver(spark, bronze, silver, ["orders"], null_limit=60.0, processed_at=AT)
+
+    def months():
+        rows = spark.read.parquet(f"{gold}/conversion_funnel").select("order_month").distinct().collect()
+        assert read_csv(spark, f"{csv}/conversion_funnel").select("order_month").distinct().count() == len(rows)
+        return {r.order_month for r in rows}
+
+    store(dates)
+    run_gold(spark, silver, gold, csv, ["funnel"])
+    assert months() == {3, 4, 5}
+    store({**dates, 2: "2024-05-06"})  # April is empty now
+    outcomes = run_gold(spark, silver, gold, csv, ["funnel"], months=((2024, 4), (2024, 5)))
+    assert exit_status(outcomes) == 0 and months() == {3, 5}
+    assert exit_status(run_gold(spark, silver, gold, csv, ["clv"], months=((2024, 4), (2024, 5)))) == 1
+
+
 def test_quality_gate_stops_one_entity(spark, raw, tmp_path):
     write_array(f"{raw}/customers.json", [customer(k, first_name=None if k < 3 else "F") for k in range(1, 11)])
     bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
