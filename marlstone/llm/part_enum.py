@@ -11,25 +11,26 @@ subset on which the sets agree: similar sets always share a signature.
 A signature without elements says little, and is given only by a set that has
 so many empty places that all places of agreement could be empty.
 
-Sets with a common signature are compared through pivots: all members of a
-signature are checked against one, connected ones are merged, and only those
-that are still apart are checked again, against more pivots each round.  Sizes
-and sketches, which bound the difference from below, spare most comparisons.  Equal
-sets are one node from the start.  So groups of copies cost in proportion to
-their size, and every pair that could link two components is checked.
+Sets with a common signature are compared through pivots: members of a signature
+are checked against its hub, the set that meets most others, connected ones are
+merged, and only those that are still apart are checked again, against more
+pivots each round, hubs first.  Sizes and sketches, which bound the difference
+from below, spare most comparisons.  Equal sets are one node from the start.  So
+groups of copies cost in proportion to their size, and every pair that could
+link two components is checked.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.llm.common import broadcast_if_small, row_key, written
@@ -37,6 +38,7 @@ from marlstone.llm.components import components, moved
 from marlstone.sources.scratch import scratch_table
 
 PIVOTS = (8, 64, 1024)  # members a signature's others are checked against in each round; the last number repeats
+SKETCH = 1024  # bits of a sketch
 SMALL = 24  # bands up to this size leave one of three second-level parts out, others one of two
 
 
@@ -127,8 +129,8 @@ def _node(found: np.ndarray) -> int:
 
 
 def _sketch(found: np.ndarray) -> np.ndarray:
-    """Parities of the elements dealt to 1024 places; two sets differ in at least as many elements as parities."""
-    odd = np.bincount((found >> np.uint64(54)).astype(np.int64), minlength=1024) & 1
+    """Parities of the elements dealt to ``SKETCH`` places; two sets differ in at least as many elements as parities."""
+    odd = np.bincount((found % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -196,6 +198,19 @@ def _elements(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     return texts.mapInArrow(run, "node long, elements binary")
 
 
+def _ends(nodes: DataFrame, end: str) -> DataFrame:
+    """Size and sketch of the sets at one end of a pair."""
+    return nodes.select(F.col("node").alias(end), F.col("size").alias(f"{end}_size"), F.col("sketch").alias(f"{end}_sketch"))
+
+
+def _may_link(percent: int) -> Column:
+    """False for pairs whose sizes or sketches already differ too much."""
+    least, most = F.least("a_size", "b_size"), F.greatest("a_size", "b_size")
+    places = (F.bit_count(F.col("a_sketch")[i].bitwiseXOR(F.col("b_sketch")[i])) for i in range(SKETCH // 64))
+    differ = reduce(Column.__add__, places)
+    return (100 * least >= percent * most) & ((100 + percent) * differ <= (100 - percent) * (least + most))
+
+
 def groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """Components of similar documents, one row for every row of ``docs`` (doc_id, text).
 
@@ -216,30 +231,23 @@ def groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         )
         members = written(members, "members")  # of signatures that several sets share; the smallest node is the pivot
         sets = written(made.drop("signatures"), "sets")
-    pivots = members.select("signature", F.col("pivot").alias("node")).distinct()
+    shared = members.select("signature", "node").unionByName(members.select("signature", F.col("pivot").alias("node")).distinct())
+    crowd = shared.groupBy("signature").agg(F.count("*").alias("crowd"))
+    degrees = shared.join(crowd, "signature").groupBy("node").agg(F.sum("crowd").alias("degree"))
     sizes = sets.groupBy("node").agg(F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch"), F.min(F.struct(*keys)).alias("key"))
-    ends = members.select("node").unionByName(pivots.select("node")).distinct()
-    nodes = written(sizes.join(ends, "node"), "nodes")
+    nodes = written(sizes.join(degrees, "node"), "nodes")
     wanted = nodes.select("node", "key.*")
     repeated = sets.groupBy(*keys).count().filter("count > 1").join(wanted, keys, "left_semi")
     elements = _elements(docs, wanted, n)
     elements = written(elements if repeated.isEmpty() else elements.dropDuplicates(["node"]), "elements")
 
-    def may_link(pairs: DataFrame) -> DataFrame:
-        """Without the pairs whose sizes or sketches already differ too much."""
-        for end in ("a", "b"):
-            own = nodes.select(F.col("node").alias(end), F.col("size").alias(f"{end}_size"), F.col("sketch").alias(f"{end}_sketch"))
-            pairs = pairs.join(own, end)
-        least, most = F.least("a_size", "b_size"), F.greatest("a_size", "b_size")
-        odd = F.zip_with("a_sketch", "b_sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-        differ = F.aggregate(odd, F.lit(0), lambda x, y: x + y)
-        possible = (100 + percent) * differ <= (100 - percent) * (least + most)
-        return pairs.filter((100 * least >= percent * most) & possible).select("a", "b")
-
-    # First each set is checked against one pivot only, which joins most groups of copies.
-    pairs = may_link(members.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct())
-    pairs = pairs.groupBy("b").agg(F.min("a").alias("a"))
-    rest = members.select("signature", "node").unionByName(pivots)
+    # First each set is checked against one hub only, which joins most groups of copies.
+    hub = F.max(F.struct("degree", "node"))
+    hubs = shared.join(nodes.select("node", "degree"), "node").groupBy("signature").agg(hub.alias("hub"))
+    pairs = shared.join(hubs, "signature").select("hub.degree", F.col("hub.node").alias("a"), F.col("node").alias("b")).filter("a <> b").distinct()
+    pairs = pairs.join(_ends(nodes, "a"), "a").join(_ends(nodes, "b"), "b").filter(_may_link(percent))
+    pairs = pairs.groupBy("b").agg(F.max(F.struct("degree", "a")).alias("hub")).select("hub.a", "b")
+    rest = shared
     labels, done = None, 0
     while True:
         links = written(_checked(pairs, elements, percent), "links")
@@ -249,12 +257,13 @@ def groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
             break
         n_pivots = PIVOTS[min(done, len(PIVOTS) - 1)]
         done += 1
-        ranked = written(rest.withColumn("rank", F.row_number().over(Window.partitionBy("signature").orderBy("node"))), "ranked")
-        ahead = ranked.filter(F.col("rank") <= n_pivots).select(
-            "signature", F.col("node").alias("a"), F.col("rank").alias("a_rank"), F.col("comp").alias("a_comp")
-        )
-        pairs = ahead.join(ranked, "signature").filter((F.col("a_rank") < F.col("rank")) & (F.col("a_comp") != F.col("comp")))
-        pairs = may_link(pairs.select("a", F.col("node").alias("b")).distinct())
+        hubs_first = Window.partitionBy("signature").orderBy(F.col("degree").desc(), "node")
+        ranked = rest.join(nodes.select("node", "degree"), "node").withColumn("rank", F.row_number().over(hubs_first))
+        ranked = written(ranked.drop("degree").join(nodes.select("node", "size", "sketch"), "node"), "ranked")
+        a, b = (ranked.select("signature", *(F.col(c).alias(end if c == "node" else f"{end}_{c}") for c in ranked.columns if c != "signature")) for end in "ab")
+        a = a.filter(F.col("a_rank") <= n_pivots).withColumnRenamed("signature", "a_signature")
+        apart = (F.col("a_signature") == F.col("signature")) & (F.col("a_rank") < F.col("b_rank")) & (F.col("a_comp") != F.col("b_comp"))
+        pairs = a.join(b, apart & _may_link(percent)).select("a", "b").distinct()
         rest = ranked.filter(F.col("rank") > n_pivots).select("signature", "node")
     comp = F.when(F.col("n_shingles") > 0, F.coalesce("comp", "node"))
     placed = sets.drop("sketch").join(labels, "node", "left").withColumn("comp", comp)
