@@ -41,10 +41,13 @@ def ingest_frame(
     input is read again for the quarantine only if there are any.  Reported
     counts are taken from the files written.
     """
+    spark, quarantine_base = raw.sparkSession, locate(bronze_base, QUARANTINE)
+    # A replay leaves nothing of the earlier run: folders that this run does not write are removed.
     if raw.isEmpty():
+        remove(spark, batch_path(bronze_base, entity.name, batch_id))
+        remove(spark, batch_path(quarantine_base, entity.name, batch_id))
         return IngestCounts(0, 0, 0)
     coerced = coerce(raw, entity.types)
-    quarantine_base = locate(bronze_base, QUARANTINE)
     accepted, rejected = 0, None
     if set(entity.required) <= set(coerced.columns):
         seen = Observation()
@@ -55,13 +58,14 @@ def ingest_frame(
         valid = stamp(valid.drop(CORRUPT), entity.file, batch_id, ingested_at)
         accepted = add_batch(valid, bronze_base, entity.name, batch_id, entity.partition_by).count()
         rejected = seen.get["n"]
+    else:
+        remove(spark, batch_path(bronze_base, entity.name, batch_id))
     if rejected != 0:
         _, quarantine = split_required(coerced, entity.required)
         quarantine = stamp(quarantine, entity.file, batch_id, ingested_at)
         rejected = add_batch(quarantine, quarantine_base, entity.name, batch_id).count()
     else:
-        # A replay of a corrected source leaves nothing of the earlier quarantine.
-        remove(raw.sparkSession, batch_path(quarantine_base, entity.name, batch_id))
+        remove(spark, batch_path(quarantine_base, entity.name, batch_id))
     return IngestCounts(accepted + rejected, accepted, rejected)
 
 

@@ -57,8 +57,8 @@ def without_brackets(records: DataFrame) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Read CSV with a header; every column is text until a staging view casts it."""
-    return spark.read.option("header", True).csv(path)
+    """Read CSV with a header, quotes doubled within values; every column is text until a staging view casts it."""
+    return spark.read.option("header", True).option("escape", '"').csv(path)
 
 
 def read_parquet(spark: SparkSession, path: str, *, merge_schema: bool = False) -> DataFrame:

@@ -62,8 +62,8 @@ def read_batches(spark: SparkSession, base: str, table: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Header CSV written by the executors, one part file per task."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Header CSV written by the executors, one part file per task; quotes within values are doubled."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def without_internal(df: DataFrame) -> DataFrame:

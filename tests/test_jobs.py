@@ -16,7 +16,7 @@ from marlstone.plans.silver_job import process_entity, read_silver, run_silver
 from marlstone.plans.warehouse import build_warehouse
 from marlstone.sources.readers import read_csv, read_if_present, read_json
 from marlstone.sources.scratch import shared_folder
-from marlstone.sources.writers import export_sample, read_batches, replace_months, write_table
+from marlstone.sources.writers import export_sample, read_batches, replace_months, write_csv, write_table
 from marlstone.streaming.arrivals import ingest_arrivals
 
 AT = dt.datetime(2024, 6, 1, tzinfo=dt.timezone.utc)
@@ -118,6 +118,27 @@ def test_replay_of_a_corrected_batch_clears_its_quarantine(spark, raw, tmp_path)
     assert not os.path.exists(f"{base}/_quarantine/products/batch_folder=id-b")
 
 
+@pytest.mark.parametrize("again", [[], [{"name": "without a key"}]])
+def test_replay_without_valid_rows_clears_the_earlier_ones(spark, raw, tmp_path, again):
+    base, path = str(tmp_path / "bronze"), f"{raw}/products.json"
+    assert ingest_entity(spark, "products", path, base, "b").valid == 1
+    write_array(path, again)
+    counts = ingest_entity(spark, "products", path, base, "b")
+    assert (counts.valid, counts.quarantined) == (0, len(again))
+    assert not os.path.exists(f"{base}/products/batch_folder=id-b")
+    assert os.path.exists(f"{base}/_quarantine/products/batch_folder=id-b") == bool(again)
+
+
+def test_csv_doubles_quotes(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    row = (1, '12" vinyl, "best"', "x")
+    write_csv(spark.createDataFrame([row], "n int, s string, z string").coalesce(1), path)
+    assert [tuple(r) for r in read_csv(spark, path).collect()] == [("1", *row[1:])]
+    part = next(f for f in os.listdir(path) if f.endswith(".csv"))
+    with open(f"{path}/{part}") as f:
+        assert f.read() == 'n,s,z\n1,"12"" vinyl, ""best""",x\n'
+
+
 def test_empty_source_is_skipped(spark, tmp_path):
     path = str(tmp_path / "orders.json")
     write_array(path, [])
