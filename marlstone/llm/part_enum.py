@@ -9,13 +9,17 @@ most one, so leaving out each of its second-level parts in turn gives some
 subset on which the sets agree: similar sets always share a signature.
 
 A signature without elements says little, and is given only by a set that has
-so many empty places that all places of agreement could be empty.
+so many empty places that all places of agreement could be empty.  First-level
+parts beyond the least number, as many as are likely to have an empty place in
+the smallest sets, make that rare.
 
 Sets with a common signature are compared through pivots: members of a signature
 are checked against its hub, the set that meets most others, connected ones are
 merged, and only those that are still apart are checked again, against more
 pivots each round, hubs first.  Sizes and sketches, which bound the difference
-from below, spare most comparisons.  Equal sets are one node from the start.  So
+from below, spare most comparisons; sets too large for a short sketch have a
+longer one besides, read only for pairs that pass the short one.  Elements are
+computed for the sets of the pairs left.  Equal sets are one node from the start.  So
 groups of copies cost in proportion to their size, and every pair that could
 link two components is checked.
 """
@@ -23,6 +27,7 @@ link two components is checked.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import lru_cache, reduce
 from itertools import combinations
@@ -95,7 +100,7 @@ class Bands:
             return ()
         n2 = 3 if self.tops[band] <= SMALL else 2
         least = k // 2 + 1
-        spare = 1 + least // 32
+        spare = self._spare(least, n2, self.tops[band - 2] + 1 if band > 1 else 1)
         n1 = least + spare
         edges = np.array([(i << 64) // (n1 * n2) for i in range(1, n1 * n2)], np.uint64)
         subsets = np.array(list(combinations(range(n2), n2 - 1)))
@@ -103,6 +108,16 @@ class Bands:
         names = _mix(np.uint64(band << 32) + np.arange(len(parts), dtype=np.uint64))
         return spare, edges, parts, names, len(subsets)
 
+    @staticmethod
+    def _spare(least: int, n2: int, smallest: int) -> int:
+        """First-level parts of which some subset is likely to be empty in a set of the ``smallest`` size."""
+        spare = 1
+        for _ in range(8):
+            n1 = least + spare
+            empty = n1 * n2 * math.exp(-smallest * (n2 - 1) / (n1 * n2))
+            spare = 1 + min(least // 3, math.ceil(empty + math.sqrt(empty)))
+        return spare
+
     def signatures(self, found: np.ndarray) -> np.ndarray:
         size = len(found)
         if not size:
@@ -128,13 +143,27 @@ def _node(found: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(found.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def _sketch(found: np.ndarray) -> np.ndarray:
-    """Parities of the elements dealt to ``SKETCH`` places; two sets differ in at least as many elements as parities."""
-    odd = np.bincount((found % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+def _sketches(found: np.ndarray) -> list[np.ndarray | None]:
+    """Parities of the elements dealt to places; two sets differ in at least as many elements as parities.
+
+    The first sketch has ``SKETCH`` places.  Larger sets have a second one of at least as many places as elements, the
+    next power of two, and a third one of half as many if that is not the first; others have None.
+    """
+    places = SKETCH
+    while places < len(found):
+        places *= 2
+    levels = [np.bincount((found % np.uint64(places)).astype(np.int64), minlength=places).astype(np.uint8) & 1]
+    while len(levels[-1]) > SKETCH:
+        half = len(levels[-1]) // 2
+        levels.append(levels[-1][:half] ^ levels[-1][half:])
+    packed = [np.packbits(x).view(np.int64) for x in levels]
+    return [packed[-1], packed[0] if len(packed) > 1 else None, packed[1] if len(packed) > 2 else None]
 
 
-SETS = "key_id long, key_hash long, doc_id long, n_shingles long, node long, sketch array<long>, signatures array<long>"
+SETS = (
+    "key_id long, key_hash long, doc_id long, n_shingles long, node long, "
+    "sketch array<long>, fine array<long>, half array<long>, signatures array<long>"
+)
 
 
 def _sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -145,7 +174,7 @@ def _sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                sizes, nodes, sketches, signatures = [], [], [], []
+                sizes, nodes, sketches, signatures = [], [], ([], [], []), []
                 for text in part.column(3):
                     found = shingles(text.as_py(), n)
                     node = _node(found)
@@ -156,17 +185,19 @@ def _sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
                         seen.add(node)
                     sizes.append(len(found))
                     nodes.append(node)
-                    sketches.append(_sketch(found))
+                    for column, sketch in zip(sketches, _sketches(found), strict=True):
+                        column.append(sketch)
                     signatures.append(bands.signatures(found).view(np.int64) if new else None)
                 longs = pa.list_(pa.int64())
-                added = [pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, longs), pa.array(signatures, longs)]
+                added = [pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())]
+                added += [pa.array(column, longs) for column in (*sketches, signatures)]
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], *added], [c.split()[0] for c in SETS.split(", ")])
 
     return docs.select(*row_key(), "doc_id", "text").mapInArrow(run, SETS)
 
 
 def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that are similar."""
+    """The pairs (a, b) that are similar; ``sets`` has the elements of their nodes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,6 +242,19 @@ def _may_link(percent: int) -> Column:
     return (100 * least >= percent * most) & ((100 + percent) * differ <= (100 - percent) * (least + most))
 
 
+def _finely(pairs: DataFrame, fine: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) without those whose longer sketches differ too much; ``fine`` has those of the sets with one."""
+    for end in ("a", "b"):
+        at = fine.select(F.col("node").alias(end), *(F.col(c).alias(f"{end}_{c}") for c in ("size", "fine", "half")))
+        pairs = pairs.join(at, end, "left")
+    # Similar sets have sketches of one length, or one is twice as long and has a half of the other's length.
+    a = F.when(F.size("a_fine") > F.size("b_fine"), F.col("a_half")).otherwise(F.col("a_fine"))
+    b = F.when(F.size("b_fine") > F.size("a_fine"), F.col("b_half")).otherwise(F.col("b_fine"))
+    parities = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    fits = (100 + percent) * parities <= (100 - percent) * (F.col("a_size") + F.col("b_size"))
+    return pairs.filter(F.coalesce(fits, F.lit(True))).select("a", "b")
+
+
 def groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """Components of similar documents, one row for every row of ``docs`` (doc_id, text).
 
@@ -234,12 +278,19 @@ def groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     shared = members.select("signature", "node").unionByName(members.select("signature", F.col("pivot").alias("node")).distinct())
     crowd = shared.groupBy("signature").agg(F.count("*").alias("crowd"))
     degrees = shared.join(crowd, "signature").groupBy("node").agg(F.sum("crowd").alias("degree"))
-    sizes = sets.groupBy("node").agg(F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch"), F.min(F.struct(*keys)).alias("key"))
+    first = [F.first(c).alias(c) for c in ("sketch", "fine", "half")]
+    sizes = sets.groupBy("node").agg(F.first("n_shingles").alias("size"), *first, F.min(F.struct(*keys)).alias("key"))
     nodes = written(sizes.join(degrees, "node"), "nodes")
-    wanted = nodes.select("node", "key.*")
-    repeated = sets.groupBy(*keys).count().filter("count > 1").join(wanted, keys, "left_semi")
-    elements = _elements(docs, wanted, n)
-    elements = written(elements if repeated.isEmpty() else elements.dropDuplicates(["node"]), "elements")
+    fine = nodes.filter(F.col("fine").isNotNull()).select("node", "size", "fine", "half")
+    unique = sets.groupBy(*keys).count().filter("count > 1").isEmpty()
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        pairs = written(_finely(pairs, fine, percent), "pairs")
+        ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+        wanted = written(nodes.select("node", "key.*").join(ends.distinct(), "node", "left_semi"), "wanted")
+        elements = _elements(docs, wanted, n)
+        with scratch_table(elements if unique else elements.dropDuplicates(["node"]), "elements") as elements:
+            return written(_checked(pairs, elements, percent), "links")
 
     # First each set is checked against one hub only, which joins most groups of copies.
     hub = F.max(F.struct("degree", "node"))
@@ -250,8 +301,7 @@ def groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     rest = shared
     labels, done = None, 0
     while True:
-        links = written(_checked(pairs, elements, percent), "links")
-        labels = _merged(labels, links)
+        labels = _merged(labels, linked(pairs))
         rest = _apart(rest, labels)
         if rest.isEmpty():
             break
@@ -266,7 +316,7 @@ def groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         pairs = a.join(b, apart & _may_link(percent)).select("a", "b").distinct()
         rest = ranked.filter(F.col("rank") > n_pivots).select("signature", "node")
     comp = F.when(F.col("n_shingles") > 0, F.coalesce("comp", "node"))
-    placed = sets.drop("sketch").join(labels, "node", "left").withColumn("comp", comp)
+    placed = sets.drop("sketch", "fine", "half").join(labels, "node", "left").withColumn("comp", comp)
     placed = written(placed, "placed")
     smallest = placed.filter(F.col("comp").isNotNull()).groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     return placed.join(smallest, "comp", "left").select(

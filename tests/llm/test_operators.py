@@ -229,6 +229,22 @@ def test_groups_against_all_pairs(spark, n, percent):
     assert found == [(i, c, s) for i, (c, s) in enumerate(zip(expected, sizes, strict=True))]
 
 
+@pytest.mark.parametrize(("n", "percent"), [(4, 85), (5, 80), (2, 30)])
+def test_groups_of_long_texts(spark, n, percent):
+    rng, texts = random.Random(percent), []
+    for size in (900, 1100, 2000, 2150, 4000, 4300, 9000):
+        words = [f"w{rng.randrange(50000)}" for _ in range(size)]
+        for edits in (0, 0, 0.002, 0.005, 0.01, 0.02, 0.05):
+            copy = list(words)
+            for at in rng.sample(range(size), int(edits * size)):
+                copy[at] = f"w{rng.randrange(50000)}"
+            texts.append(" ".join(copy[: int(size * rng.choice([1, 0.95, 0.86, 0.84, 0.81, 0.79, 0.4]))]))
+    expected, sizes = components_by_force(texts, n, percent)
+    assert len(set(expected)) < len(texts) - 7
+    found = sorted((r.doc_id, r.component_id, r.n_shingles) for r in groups(documents(spark, texts), n, percent).collect())
+    assert found == [(i, c, s) for i, (c, s) in enumerate(zip(expected, sizes, strict=True))]
+
+
 def test_keep_one(spark):
     docs = documents(spark, ["a b c d e f"] * 3 + ["", None, "other words are here now"], [4, 2, 2, 7, None, 9])
     found = keep_one(docs)
