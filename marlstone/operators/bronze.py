@@ -11,12 +11,13 @@ from marlstone.entities import LATE_AFTER_DAYS
 from marlstone.functions.rules import all_true, day, moment
 
 WHOLE_NUMBERS = ("int", "bigint")
+FRACTIONS = ("float", "double")
 
 
 def coerce(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Bring declared columns to their type; undeclared columns pass unchanged.
 
-    A value that does not fit its type becomes NULL.
+    A value that does not fit its type becomes NULL, and so do NaN and the infinities, which no amount can be.
     """
     present = dict(df.dtypes)
     return df.withColumns(
@@ -31,6 +32,9 @@ def _coerced(name: str, found: str, wanted: str) -> Column:
         return F.coalesce(
             value.try_cast(wanted), value.try_cast("decimal(38,6)").try_cast(wanted)
         )
+    if wanted in FRACTIONS:
+        number = value.try_cast(wanted)
+        return F.when(F.abs(number) < float("inf"), number)  # NaN counts as larger than any number
     return value.try_cast(wanted)
 
 

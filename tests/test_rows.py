@@ -29,6 +29,15 @@ def test_coerce_turns_misfits_into_null_and_keeps_extras(spark):
     assert [tuple(r) for r in out.collect()] == [(1, 7, "x"), (None, 12, "y"), (3000000000, None, "z")]
 
 
+@pytest.mark.parametrize("kind", ["double", "string"])
+def test_coerce_turns_amounts_that_are_no_numbers_into_null(spark, kind):
+    texts = ["1.5", "NaN", "Infinity", "-Infinity", None, "-2"]
+    rows = spark.createDataFrame([(t,) for t in texts], "total_amount string").select(F.col("total_amount").cast(kind))
+    out = bronze.coerce(rows, {"total_amount": "double"})
+    assert dict(out.dtypes) == {"total_amount": "double"}
+    assert [r.total_amount for r in out.collect()] == [1.5, None, None, None, None, -2.0]
+
+
 def test_missing_required_column_quarantines_everything(spark):
     rows = spark.createDataFrame([(1,), (2,)], "order_id bigint")
     valid, quarantine = bronze.split_required(rows, ["order_id", "customer_id"])
