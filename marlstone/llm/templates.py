@@ -29,6 +29,7 @@ from marlstone.llm.common import broadcast_if_small, written
 #: Fixed values of HTML: elements without content, with content that is no markup, within a line, and containers.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea noscript template iframe svg math select button object audio video canvas".split())
+NESTED = frozenset("svg math object template".split())  # of RAW, those that may hold another of their kind
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q ruby rb rp rt rtc s samp small span strike strong sub sup time tt u var".split()
 )
@@ -49,30 +50,88 @@ _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+|[^>]*)>""", re.S
 )
 _ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_BLOCK = re.compile(
+    r"</?(?:article|main|section|div|body|html|td|tr|th|table|center|blockquote|p|h[1-6]|ul|ol|li|dl|dt|dd|pre|figure|header|footer|nav|aside|form|hr)(?![\w-])", re.I
+)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _TAG = re.compile(r"[a-z][a-z0-9]*")
 
 
 def _element(tag: str, rest: str) -> tuple[str, bool]:
-    """The step an element adds to the path, and whether its content stands apart from the text."""
+    """The step an element adds to the path, and whether it is marked as standing apart from the text."""
     if "=" not in rest:
         return tag, tag in APART
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(rest)}
     classes = sorted(set(found.get("class", "").split()))
     words = {w.lower() for w in _WORD.findall(f"{found.get('class', '')} {found.get('id', '')}")}
     apart = tag in APART or found.get("role", "").lower() in ROLES or not words.isdisjoint(MARKS)
-    return ".".join([tag, *classes]), apart and tag not in ("body", "html", "article", "main")
+    return ".".join([tag, *classes]), apart
+
 
+def _raw_end(page: str, at: int, tag: str, parent: str) -> int:
+    """Where the element of RAW whose start tag ends at ``at`` ends.
 
-def walk(page: str) -> Iterator[tuple[str, str, bool, bool, str]]:
+    Without an end tag of its own before the parent ends or, if such elements do not nest, the next one begins, it is
+    unclosed: a script or style then takes the rest of the page, another ends where the next block begins or ends.
+    """
+    end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+    if tag in ("script", "style"):
+        return end.end() if end else len(page)
+    if end:
+        within, outside = 0, 0
+        for m in re.compile(rf"<(/?)({re.escape(tag)}|{re.escape(parent) or tag})(?![\w-])[^>]*>", re.I).finditer(page, at):
+            if m[2].lower() != tag:
+                outside += -1 if m[1] else 1
+                if outside < 0:
+                    break
+            elif not m[1]:
+                if tag not in NESTED:
+                    break
+                within += not m[0].endswith("/>")
+            elif within:
+                within -= 1
+            else:
+                return m.end()
+    block = _BLOCK.search(page, at)
+    return block.start() if block else len(page)
+
+
+def walk(page: str) -> list[tuple[str, str, bool, bool, str]]:
     """Events of a page: (kind, path, apart, linked, text) with kind open, close or text.
 
     Like a browser, a new block ends an open paragraph and what is open within its line, and a missing end tag is
-    put in where an outer element ends.
+    put in where an outer element ends.  What is inside a marked element stands apart from the text, unless the element
+    wraps the page's article or main element or, on a page without one, most of its text.
     """
-    stack: list[tuple[str, str, bool, bool]] = []  # tag, path, apart, linked
+    size: dict[int, int] = {}  # text inside the marked elements and the articles, by number
+    marked: dict[int, bool] = {}  # whether a marked element may wrap an article
+    articles: dict[int, tuple[int, ...]] = {}  # the marked elements around each article
+    events, total = [], 0
+    for kind, path, around, linked, text in _events(page, marked, articles):
+        events.append((kind, path, around, linked, text))
+        if kind == "text" and not linked and (marked or articles):
+            n = len(text.strip())
+            for i in around:
+                size[i] = size.get(i, 0) + n
+        if kind == "text" and not linked:
+            total += len(text.strip())
+    if not marked:
+        return [(kind, path, False, linked, text) for kind, path, _, linked, text in events]
+    clear = max((size.get(i, 0) for i, over in articles.items() if not over), default=0)
+    held = [i for i, over in articles.items() if over and size.get(i, 0) > 2 * clear and all(marked[o] for o in over)]
+    if held:
+        spared = set(articles[max(held, key=lambda i: size[i])])
+    else:
+        spared = {i for i in marked if not clear and 2 * size.get(i, 0) > total}
+    apart = marked.keys() - spared
+    return [(kind, path, not apart.isdisjoint(around), linked, text) for kind, path, around, linked, text in events]
+
+
+def _events(page: str, marked: dict[int, bool], articles: dict[int, tuple[int, ...]]) -> Iterator[tuple[str, str, tuple[int, ...], bool, str]]:
+    """Events with the numbers of the marked elements and articles around them, which are entered in the two tables."""
+    stack: list[tuple[str, str, tuple[int, ...], bool]] = []  # tag, path, around, linked
     at, raw = 0, None
-    path, apart, linked = "", False, False
+    path, apart, linked = "", (), False
     for m in _TOKEN.finditer(page):
         if m.start() < at:
             continue
@@ -85,8 +144,7 @@ def walk(page: str) -> Iterator[tuple[str, str, bool, bool, str]]:
         if not m[1]:
             if tag in RAW:
                 if not m[3].endswith("/"):
-                    end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                    at = end.end() if end else len(page)
+                    at = _raw_end(page, at, tag, next((t for t, *_ in reversed(stack) if t not in INLINE), ""))
                 continue
             if tag in VOID:
                 yield ("text", path, apart, linked, " ") if tag in ("br", "wbr", "img") else ("open", path, apart, linked, "")
@@ -97,11 +155,20 @@ def walk(page: str) -> Iterator[tuple[str, str, bool, bool, str]]:
                 while stack and (stack[-1][0] in INLINE or stack[-1][0] == "p" or stack[-1][0] == tag and tag in ("li", "td", "th", "tr", "dt", "dd", "option")):
                     yield "close", stack[-1][1], stack[-1][2], stack[-1][3], stack[-1][0]
                     stack.pop()
-                path, apart, linked = stack[-1][1:] if stack else ("", False, False)
+                path, apart, linked = stack[-1][1:] if stack else ("", (), False)
             step, own = _element(tag, m[3])
+            if tag in ("article", "main") and not own:
+                number = len(marked) + len(articles)
+                articles[number] = tuple(i for i in apart if i in marked)
+                apart = (*apart, number)
+            own = own and tag not in ("body", "html", "article", "main")
             if tag not in INLINE or own:
                 path = f"{path}>{step}" if path else step
-            apart, linked = apart or own, linked or tag == "a"
+            if own:
+                number = len(marked) + len(articles)
+                marked[number] = tag == "form" or tag not in APART
+                apart = (*apart, number)
+            linked = linked or tag == "a"
             stack.append((tag, path, apart, linked))
             yield "open", path, apart, linked, tag
         else:
@@ -111,7 +178,7 @@ def walk(page: str) -> Iterator[tuple[str, str, bool, bool, str]]:
             while len(stack) > depth:
                 yield "close", stack[-1][1], stack[-1][2], stack[-1][3], stack[-1][0]
                 stack.pop()
-            path, apart, linked = stack[-1][1:] if stack else ("", False, False)
+            path, apart, linked = stack[-1][1:] if stack else ("", (), False)
     if at < len(page):
         yield "text", path, apart, linked, page[at:]
 

@@ -183,6 +183,25 @@ def test_main_text(spark):
     assert (found[6], found[7], found[8]) == ("", "", "a < b")
 
 
+def test_main_text_inside_marked_wrappers(spark):
+    whole = "the whole article " * 9
+    article = f"<article><h1>T</h1><p>{whole}</p></article>"
+    wrapped = [
+        f"<div class=\"site-content no-sidebar\">{article}</div><p>copyright</p>",
+        f"<div class=\"page has-sidebar\"><div class=sidebar>side</div>{article}</div>",
+        f"<div id=social-post><main>{article}</main></div>",
+        f"<form><nav>menu</nav>{article}</form>",
+        f"<div class=notice><h1>T</h1><p>{whole}</p></div>",
+        f"<div><button>go</div>{article}<button>x</button>",
+        f"<div><p><select><option>a</p></div>{article}<aside><article>teaser</article></aside>",
+        f"<div><svg><path/></div>{article}<div class=comments><article>a comment</article></div>",
+        f"<body><canvas>{article}<p><video>none</video></p></body>",
+    ]
+    rows = [(i, f"http://h{i}/", page) for i, page in enumerate(wrapped)]
+    found = {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {i: f"T\n{whole.strip()}" for i in range(len(wrapped))}
+
+
 def test_main_text_of_whole_table(spark):
     folder = "/root/testdata/sf0.001"
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
