@@ -1,12 +1,17 @@
 """Main text of web pages by template deduction.
 
-A token is an element as the path of tags and classes that leads to it.  Its
-occurrence vector counts it on every page of a host.  Tokens with equal vectors
+A token is an element that may hold others, as the path of tags and classes that
+leads to it, or a block: the path of any element and the words that stand in it
+without a break.  Its occurrence vector counts it on every page of a host.  Tokens with equal vectors
 form an equivalence class; they came from the same part of the site's template.
 Classes that most pages have and whose tokens stand once on a page are valid, and
 are nested by their paths into the host's template.  What the template leaves
-open are its slots: the one that holds the text is extracted, without the slots
-inside it that are menus, forms, adverts, comments and the like.
+open are its slots: the one that holds the text is extracted, without the blocks
+inside it that most pages of the host have alike.  Slots that are menus, forms,
+adverts, comments and the like are known by fixed lists of tags, roles and words.
+
+A page that would lose more than half of its text to blocks of the template is a
+copy of others rather than made from the same template, and keeps them.
 
 Vectors are never collected: a class is recognised by sums of hashes of page and
 count, which tasks add up before anything is shuffled.  A host with a third of
@@ -21,7 +26,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.llm.common import broadcast_if_small, written
@@ -183,10 +188,13 @@ def _events(page: str, marked: dict[int, bool], articles: dict[int, tuple[int, .
         yield "text", path, apart, linked, page[at:]
 
 
-def measure(page: str) -> dict[str, list[int]]:
+Events = list[tuple[str, str, bool, bool, str]]
+
+
+def measure(events: Events) -> dict[str, list[int]]:
     """Tokens of a page that may contain others: how often they occur and how much text of their own they hold."""
     found: dict[str, list[int]] = {}
-    for kind, path, apart, linked, text in walk(page):
+    for kind, path, apart, linked, text in events:
         if kind == "open" and text in CONTAINERS and not apart:
             found.setdefault(path, [0, 0])[0] += 1
         elif kind == "text" and not apart and not linked:
@@ -211,25 +219,49 @@ def choose(tokens: dict[str, int]) -> str | None:
     return max(wide, key=lambda t: (t.count(">"), tokens[t], t))
 
 
-def extract(page: str, main: str | None) -> str:
-    """Text under the token ``main``: blocks in page order, one a line; the page's own choice if it has no such token."""
-    found = measure(page)
-    if main not in found:
-        main = choose({t: n for t, (times, n) in found.items() if times == 1}) or choose({t: n for t, (_, n) in found.items()})
-    blocks, block = [], []
-    under = f"{main}>" if main else ""
-    for kind, path, apart, _, text in walk(page):
+def lines(events: Events) -> list[tuple[str, str]]:
+    """Blocks of a page in its order, without those apart from the text: path and words."""
+    found, block, at = [], [], ""
+
+    def end() -> None:
+        if line := " ".join(html.unescape("".join(block)).split()):
+            found.append((at, line))
+        block.clear()
+
+    for kind, path, apart, _, text in events:
         if kind == "text":
-            if not apart and (path == main or path.startswith(under)):
+            if not apart:
+                at = path
                 block.append(text)
         elif text not in INLINE and block:
-            blocks.append(block)
-            block = []
-    blocks.append(block)
-    lines = (" ".join(html.unescape("".join(b)).split()) for b in blocks)
-    return "\n".join(line for line in lines if line)
+            end()
+    end()
+    return found
+
+
+def block_token(path: str, line: str) -> str:
+    return f"{path}\n{xxhash.xxh3_64_hexdigest(f'{path}\n{line}')}"
 
 
+def extract(page: str, main: str | None, fixed: frozenset[str] = frozenset()) -> str:
+    """Text under the token ``main``: blocks in page order, one a line; the page's own choice if it has no such token.
+
+    Blocks whose tokens are ``fixed`` are left out, unless that is most of the text.
+    """
+    events = walk(page)
+    found = measure(events)
+    if main not in found:
+        main = choose({t: n for t, (times, n) in found.items() if times == 1}) or choose({t: n for t, (_, n) in found.items()})
+    under = f"{main}>" if main else ""
+    inside = [(path, line) for path, line in lines(events) if path == main or path.startswith(under)]
+    if fixed:
+        kept = [(path, line) for path, line in inside if block_token(path, line) not in fixed]
+        if 2 * sum(len(line) for _, line in kept) >= sum(len(line) for _, line in inside):
+            inside = kept
+    return "\n".join(line for _, line in inside)
+
+
+MIN_PAGES = 4  # with fewer pages, what they have in common says nothing about a template
 HOST = r"(?s)^.*?://([^/?#]*)"
 SUMS = "host string, token string, pages long, once long, chars long, low long, high long"
 
@@ -251,8 +283,13 @@ def _token_sums(pages: DataFrame) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 for r in batch.slice(at, 64).to_pylist():
-                    found = measure(r["html"] or "")
+                    events = walk(r["html"] or "")
+                    found = measure(events)
                     found[""] = [1, 0]
+                    for path, line in lines(events):
+                        f = found.setdefault(block_token(path, line), [0, 0])
+                        f[0] += 1
+                        f[1] += len(line)
                     for token, (times, chars) in found.items():
                         s = sums.setdefault((r["host"], token), [0, 0, 0, 0, 0])
                         h = xxhash.xxh64_intdigest(f"{r['row']}:{times}")
@@ -266,14 +303,20 @@ def _token_sums(pages: DataFrame) -> DataFrame:
     return pages.select("host", "html", "row").mapInArrow(run, SUMS)
 
 
+def _is_block(token: str) -> Column:
+    return F.col(token).contains("\n")
+
+
 def deduce(pages: DataFrame, min_share: float = 0.5) -> DataFrame:
-    """One row for each host and valid class: host, class_id, parent_id, tokens, pages, chars, and the host's main token."""
+    """One row for each host and valid class: host, class_id, parent_id, pages and tokens with their amounts of text."""
     numbers = ("pages", "once", "chars", "low", "high")
-    tokens = written(_token_sums(pages).groupBy("host", "token").agg(*[F.sum(n).alias(n) for n in numbers]), "tokens")
+    tokens = _token_sums(pages).groupBy("host", "token").agg(*[F.sum(n).alias(n) for n in numbers])
+    tokens = written(tokens.filter(~_is_block("token") | (F.col("pages") >= MIN_PAGES)), "tokens")
     hosts = tokens.filter("token = ''").select("host", F.col("pages").alias("host_pages"))
     frequent = tokens.filter("token <> ''").join(hosts, "host").filter(F.col("pages") >= min_share * F.col("host_pages"))
     classes = (
-        frequent.filter(F.col("once") == F.col("pages"))  # tokens that repeat on a page are inside slots
+        # Elements that repeat on a page are inside slots; blocks that do are still the template's.
+        frequent.filter((F.col("once") == F.col("pages")) | _is_block("token"))
         .groupBy("host", "pages", "low", "high")
         .agg(F.array_sort(F.collect_list(F.struct(F.length("token").alias("n"), "token", "chars"))).alias("tokens"))
         .withColumn("class_id", F.xxhash64("host", "low", "high"))
@@ -293,7 +336,7 @@ def deduce(pages: DataFrame, min_share: float = 0.5) -> DataFrame:
 
 def main_tokens(template: DataFrame) -> DataFrame:
     """host and the token of its template that holds the text."""
-    tokens = template.select("host", F.explode("tokens").alias("t")).select("host", "t.*")
+    tokens = template.select("host", F.explode("tokens").alias("t")).select("host", "t.*").filter(~_is_block("token"))
     most = tokens.groupBy("host").agg(F.max("chars").alias("most"))
     tag = F.element_at(F.split(F.element_at(F.split("token", ">"), -1), r"\."), 1)
     named = tag.isin("article", "main") & (2 * F.col("chars") >= F.col("most"))
@@ -302,28 +345,37 @@ def main_tokens(template: DataFrame) -> DataFrame:
     return tokens.join(most, "host").filter(named | wide).groupBy("host").agg(F.max_by("token", rank).alias("main"))
 
 
+def fixed_blocks(template: DataFrame) -> DataFrame:
+    """host and the tokens of the blocks that its template holds; no more than twice the blocks of a page on average."""
+    tokens = template.select("host", F.explode("tokens.token").alias("token")).filter(_is_block("token"))
+    return tokens.groupBy("host").agg(F.collect_list("token").alias("fixed"))
+
+
 def main_text(pages: DataFrame, min_share: float = 0.5) -> DataFrame:
     """Main text of every page of ``pages`` (page_id, url, html).
 
-    Returns page_id, url, text and n_chars, a row for every input row.  Character references are decoded, white space
+    Returns page_id, url, text and n_chars, a row for every input row.  Blocks that ``min_share`` of the pages of a host,
+    and at least four, have at the same place are its template's and not part of the text.  Character references are decoded, white space
     inside a block becomes one space, blocks are joined by line breaks.  A null or empty html gives an empty text.
     Pages whose url is null or has no host share a template.  Page_ids may be null or repeat; further columns are not
     read; an empty table gives no rows.
     """
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), HOST, 1))
     rows = pages.select("page_id", "url", "html", host.alias("host"))
-    template = deduce(rows.withColumn("row", F.monotonically_increasing_id()), min_share)
-    mains = broadcast_if_small(written(main_tokens(template), "main-tokens"))
+    template = written(deduce(rows.withColumn("row", F.monotonically_increasing_id()), min_share), "template")
+    mains = main_tokens(template).join(fixed_blocks(template), "host", "full")
+    mains = broadcast_if_small(written(mains, "main-tokens"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                texts = [extract(p or "", m) for p, m in zip(*(part.column(c).to_pylist() for c in (2, 3)), strict=True)]
+                given = zip(*(part.column(c).to_pylist() for c in (2, 3, 4)), strict=True)
+                texts = [extract(p or "", m, frozenset(f or ())) for p, m, f in given]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                     ["page_id", "url", "text", "n_chars"],
                 )
 
-    joined = rows.join(mains, "host", "left").select("page_id", "url", "html", "main")
+    joined = rows.join(mains, "host", "left").select("page_id", "url", "html", "main", "fixed")
     return joined.mapInArrow(run, "page_id long, url string, text string, n_chars long")

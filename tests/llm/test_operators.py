@@ -183,6 +183,21 @@ def test_main_text(spark):
     assert (found[6], found[7], found[8]) == ("", "", "a < b")
 
 
+def test_main_text_without_repeated_blocks(spark):
+    site = "<div class=x7><p>All rights stay with the editors of this site</p></div>"
+    own = [f"{w} has a long story of its own that no other page of the host tells, " * 2 for w in "abcdefgh"]
+    page = "<body><article><h1>{}</h1><div class=x1>Our daily letter</div><p>{}</p>{}</article></body>"
+    rows = [(i, f"http://a/{i}", page.format(i, text, site)) for i, text in enumerate(own)]
+    rows += [(100 + i, f"http://copies/{i}", page.format(0, own[0], site)) for i in range(8)]
+    rows += [(200 + i, f"http://few/{i}", page.format(i, own[i], site)) for i in range(3)]
+    found = {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    tail = "All rights stay with the editors of this site"
+    for i, text in enumerate(own):
+        assert found[i] == f"{i}\n{text.strip()}"
+        assert found[100 + i] == f"0\nOur daily letter\n{own[0].strip()}\n{tail}"
+    assert found[201] == f"1\nOur daily letter\n{own[1].strip()}\n{tail}"
+
+
 def test_main_text_inside_marked_wrappers(spark):
     whole = "the whole article " * 9
     article = f"<article><h1>T</h1><p>{whole}</p></article>"
