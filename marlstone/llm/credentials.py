@@ -88,7 +88,7 @@ def find(docs: DataFrame) -> DataFrame:
 
 
 def spans(found: DataFrame) -> DataFrame:
-    """Matches as row, kind, rank, start, end (code points): base ones and weak ones that touch no base one."""
+    """Matches, base and weak, as row, kind, rank, start, end (code points)."""
     kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(i).alias("rank"), F.col(k).alias("m")) for i, k in enumerate(KINDS)])
     each = (
         found.select("row", F.explode(kinds).alias("k"))
@@ -98,28 +98,29 @@ def spans(found: DataFrame) -> DataFrame:
     )
     before = Window.partitionBy("row", "kind").orderBy("n")
     to = F.sum(F.col("m.gaps") + F.col("m.sizes")).over(before)
-    each = (
+    return (
         each.withColumn("end", to)
         .withColumn("start", F.col("end") - F.col("m.sizes"))
         .filter("m.holds")
         .select("row", "kind", "rank", "start", "end")
     )
-    weak = F.col("rank") >= len(BASE)
-    # A weak match is covered if a base match ends behind its start and begins before its end; base matches are met in
-    # order of their starts, so the furthest end before and the nearest start behind tell.
-    order = Window.partitionBy("row").orderBy("start", "rank")
-    ended = F.max(F.when(~weak, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    begins = F.min(F.when(~weak, F.col("start"))).over(order.rowsBetween(1, Window.unboundedFollowing))
-    return (
-        each.withColumn("ended", ended)
-        .withColumn("begins", begins)
-        .filter(~(weak & ((F.coalesce("ended", F.lit(-1)) > F.col("start")) | (F.coalesce("begins", F.col("end")) < F.col("end")))))
-        .drop("ended", "begins")
-    )
+
+
+def uncovered(found_spans: DataFrame) -> DataFrame:
+    """Spans without the weak ones that lie wholly inside a base span."""
+    # Base spans are met in order of their starts, so the furthest end before tells.
+    before = Window.partitionBy("row").orderBy("start", "rank").rowsBetween(Window.unboundedPreceding, -1)
+    base = F.col("rank") < len(BASE)
+    reach = F.max(F.when(base, F.col("end"))).over(before)
+    return found_spans.withColumn("reach", reach).filter(base | (F.coalesce("reach", F.lit(-1)) < F.col("end"))).drop("reach")
 
 
 def linked(found_spans: DataFrame) -> DataFrame:
-    """Base spans, and weak ones in whose scope every complementary part occurs."""
+    """Base spans, and weak ones in whose scope every complementary part occurs.
+
+    Parts take their roles whether or not they overlap others, but a weak identifier or secret is not confirmed by what
+    overlaps it; an address may hold its complements.
+    """
     role = F.element_at(F.create_map(*[F.lit(x) for kv in ROLES.items() for x in kv]), F.col("kind"))
     parts = found_spans.withColumn("role", role)
 
@@ -138,6 +139,7 @@ def linked(found_spans: DataFrame) -> DataFrame:
         & (F.col("bin") == F.col("other_bin"))
         & (F.col("other_start") < F.col("scope_end"))
         & (F.col("other_end") > F.col("scope_start"))
+        & ((F.col("kind") == "endpoint") | (F.col("other_end") <= F.col("start")) | (F.col("other_start") >= F.col("end")))
     )
     has = {r: F.max(F.col("other_role") == r).alias(f"has_{r}") for r in ("id", "secret")}
     needed = F.lit(False)
@@ -161,12 +163,12 @@ def scan(docs: DataFrame) -> DataFrame:
     """All secrets of every whole text.
 
     Returns one row for every input row: doc_id, n_assign, n_access, n_hex, base_sha256 and spans, where a span is
-    kind:start:end and spans stand in order of start, then kind.  A null or empty text has no spans and the digest of
+    kind:start:end and spans stand in order of start, then kind; a weak span wholly inside a base one is not listed.  A null or empty text has no spans and the digest of
     the empty string.  Null or repeated doc_ids are kept apart by row; further columns are not read; an empty table
     gives no rows.
     """
     found = written(find(docs), "secrets-found")
-    all_spans = written(linked(spans(found)), "secrets-spans")
+    all_spans = written(uncovered(linked(spans(found))), "secrets-spans")
     listed = all_spans.groupBy("row").agg(
         F.array_sort(F.collect_list(F.struct("start", "rank", "end", "kind"))).alias("spans")
     )

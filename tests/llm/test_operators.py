@@ -158,6 +158,25 @@ def test_weak_secrets_need_their_complements(spark):
     assert found[4].startswith("endpoint:0:23,weak_id:24:44,weak_secret:45")
 
 
+def test_weak_parts_that_overlap_base_ones(spark):
+    hexed, secret = "5f4dcc3b5aa765d61d8327deb882cf99", "wJalrXUtnFEMIK7MDENGbPxRfiCYzz9EXAMPLEKEY"
+    texts = [
+        f"client_id={hexed}\nkey {secret}",
+        f"client_id={hexed} alone",
+        "https://a.example.com/?id=ASIAABCDEFGHIJKLMNOP&token=abcdefgh",
+        f"ASIAABCDEFGHIJKLMNOP Zz9/{hexed}/Zz9",
+        f"token={secret} ASIAABCDEFGHIJKLMNOP",
+    ]
+    found = [r.spans for r in scan(documents(spark, texts)).orderBy("doc_id").collect()]
+    assert found[0] == f"weak_id:0:42,hex:10:42,weak_secret:47:{47 + len(secret)}"
+    assert found[1] == "hex:10:42"
+    assert found[2] == f"endpoint:0:{len(texts[2])},weak_id:26:46,assign:47:61"
+    assert found[3] == "weak_id:0:20,weak_secret:21:61,hex:25:57"
+    assert found[4] == "assign:0:47,weak_id:48:68"
+    redacted = [r.text for r in redact(documents(spark, texts)).orderBy("doc_id").collect()]
+    assert redacted == ["[SECRET]\nkey [SECRET]", "client_id=[SECRET] alone", "[SECRET]", "[SECRET] [SECRET]", "[SECRET] [SECRET]"]
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(1, 'a token = "0123456789abcdef0123456789" b', 9), (2, "plain", 5), (None, None, None)], "doc_id long, text string, n_chars long")
     found = {r.doc_id: r for r in redact(docs).collect()}
