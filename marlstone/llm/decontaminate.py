@@ -48,6 +48,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     words, of which 11 must be equal.  Texts with fewer words, null or empty ones match nothing.  Documents with
     equal doc_id and text, and those with a null doc_id, give a row each time they occur.  Empty tables give no rows.
     """
+    found = _keyed_leaks(docs, benchmark).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
+    return found.select("doc_id", "item_id", "matched", "doc_word", "item_word", "n_items")
+
+
+def _keyed_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Columns of ``leaks``, key columns and copies, one row for documents that are copies of one another."""
     items = benchmark.select("item_id", words().alias("words"))
     items = items.groupBy("words").agg(F.min("item_id").alias("item_id"), F.count("*").alias("n_items"))
     items = written(items.filter(F.size("words") >= WINDOW).withColumn("item", F.monotonically_increasing_id()), "items")
@@ -83,9 +89,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .filter(F.col("window.matched") >= WINDOW - SUBSTITUTIONS)
         .groupBy(*keys, "doc_id", "item_id", "n_items", "copies")
         .agg(best)
-        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
         .select(
+            *keys,
             "doc_id",
+            "copies",
             "item_id",
             F.col("best.matched").cast("bigint").alias("matched"),
             (F.col("best.shift") - F.col("best.item_at")).cast("bigint").alias("doc_word"),
@@ -96,7 +103,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents without a leak, with all their columns."""
-    found = leaks(docs.select("doc_id", "text"), benchmark)
-    bad = written(found.select(F.col("doc_id").alias("bad_id")).distinct(), "leaky-docs")
-    return docs.join(broadcast_if_small(bad), docs["doc_id"].eqNullSafe(F.col("bad_id")), "left_anti")
+    """Documents without a leak, with all their columns; null or repeated doc_ids are told apart by their texts."""
+    found = _keyed_leaks(docs.select("doc_id", "text"), benchmark)
+    bad = written(found.select(F.col("key_id").alias("bad_id"), F.col("key_hash").alias("bad_hash")).distinct(), "leaky-docs")
+    key_id, key_hash = row_key()
+    return docs.join(broadcast_if_small(bad), (key_id == F.col("bad_id")) & (key_hash == F.col("bad_hash")), "left_anti")

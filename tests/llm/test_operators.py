@@ -337,6 +337,16 @@ def test_leaks_against_brute_force(spark):
     assert expected and {r.doc_id for r in clean(docs, benchmark).collect()} == set(range(len(texts))) - {d for d, _ in expected}
 
 
+def test_clean_keeps_rows_that_share_an_id_with_a_leak(spark):
+    passage = " ".join(f"word{i}" for i in range(14))
+    texts = [passage, "clean one", None, passage + " more", "clean two", "clean three", passage]
+    docs = documents(spark, texts, [None, None, None, 5, 5, 6, 7])
+    benchmark = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    found = clean(docs, benchmark)
+    assert found.columns == docs.columns
+    assert sorted((r.doc_id or -1, r.text or "") for r in found.collect()) == [(-1, ""), (-1, "clean one"), (5, "clean two"), (6, "clean three")]
+
+
 def test_toxicity_learns_and_scores_odd_rows(spark):
     rng = random.Random(2)
     plain = lambda n: " ".join(rng.choice(["tree", "house", "river", "stone", "bird", "cloud"]) for _ in range(n))
