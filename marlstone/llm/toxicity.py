@@ -32,7 +32,8 @@ from marlstone.llm.common import written
 WINDOW, STEP = 32, 16  # words
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 8, 8
 BUCKETS = 4096  # of character trigrams
-TRIGRAMS = 24  # of a word that are used
+TRIGRAMS = 24  # of a word that are used, one for each character; longer words are cut
+PIECE_STEP = 16  # characters from one piece of a long word to the next
 STRIP = ".,;:!?\"'()[]{}<>*_#$%&|-–—«»„“”…"
 
 
@@ -41,7 +42,17 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def words_of(text: str | None) -> list[str]:
-    return text.lower().split() if text else []
+    """Words of a text in lower case; longer ones than TRIGRAMS as overlapping pieces, so that each character is read."""
+    words = text.lower().split() if text else []
+    return [piece for w in words for piece in pieces(w)] if any(len(w) > TRIGRAMS for w in words) else words
+
+
+def pieces(word: str) -> list[str]:
+    plain = word if len(word) <= TRIGRAMS else word.strip(STRIP) or word
+    if len(plain) <= TRIGRAMS:
+        return [word]
+    starts = [*range(0, len(plain) - TRIGRAMS, PIECE_STEP), len(plain) - TRIGRAMS]
+    return [plain[i : i + TRIGRAMS] for i in starts]
 
 
 def window_starts(n: int) -> np.ndarray:

@@ -21,7 +21,7 @@ from marlstone.llm.decontaminate import clean, leaks  # noqa: E402
 from marlstone.llm.part_enum import groups, keep_one  # noqa: E402
 from marlstone.llm.templates import main_text  # noqa: E402
 from marlstone.llm.token_files import SequenceFile, token_files, write_shards  # noqa: E402
-from marlstone.llm.toxicity import score, toxicity, train  # noqa: E402
+from marlstone.llm.toxicity import Network, Scorer, score, toxicity, train, words_of  # noqa: E402
 from marlstone.llm.trie_bpe import TrieBpe, encode_decode  # noqa: E402
 from marlstone.llm.url_rules import judge  # noqa: E402
 from tests.compare import connect, differences  # noqa: E402
@@ -360,6 +360,18 @@ def test_toxicity_learns_and_scores_odd_rows(spark):
     assert np.mean([r.predicted == int(r.doc_id % 4 == 0) for r in held]) > 0.9
 
 
+def test_toxicity_reads_all_of_long_words():
+    scorer = Scorer(Network.new([], np.random.default_rng(4)))
+    long = "".join(chr(0x4E00 + i) for i in range(200))
+    for text in (long, "_".join(["plain"] * 30), "a" * 26):
+        assert "".join(dict.fromkeys("".join(words_of(text)))) == "".join(dict.fromkeys(text))
+        plain = scorer.window_logits([words_of(text)])[0]
+        for at in (0, len(text) // 2, len(text) - 1):
+            other = scorer.window_logits([words_of(text[:at] + "\u00e9" + text[at + 1 :])])[0]
+            assert other.shape == plain.shape and (other != plain).any()
+    assert words_of('A "' + "b" * 24 + '!!!" c') == ["a", '"' + "b" * 24 + '!!!"', "c"]
+
+
 def test_toxicity_without_labels(spark):
     network = train([], np.array([]))
     assert score(documents(spark, ["a", None]), network).filter("predicted = 0").count() == 2
