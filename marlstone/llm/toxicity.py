@@ -319,6 +319,7 @@ def sample(docs: DataFrame, labels: DataFrame, per_label: int = 1200, windows: i
     """Training windows: of each label the documents with the smallest hash of doc_id, never held-out ones.
 
     ``per_label`` bounds the documents of a label, ``windows`` the windows taken, evenly spread, from one document.
+    Of rows that share a doc_id, the one whose text has the smallest hash is taken.
     """
     labelled = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out())
     labelled = labelled.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -330,20 +331,27 @@ def sample(docs: DataFrame, labels: DataFrame, per_label: int = 1200, windows: i
     chosen = F.broadcast(written(chosen, "labelled"))  # at most 2 * per_label rows
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, tuple[int, int, list[str]]] = {}  # of each doc_id the text with the smallest hash
         for batch in batches:
             for row in range(batch.num_rows):
+                doc_id, toxic, order = (batch.column(c)[row].as_py() for c in (0, 2, 3))
+                if doc_id in best and best[doc_id][0] <= order:
+                    continue
                 words = words_of(batch.column(1)[row].as_py())
                 starts = window_starts(len(words))
                 if len(starts) > windows:
                     starts = starts[np.linspace(0, len(starts) - 1, windows).astype(int)]
-                found = [" ".join(words[i : i + WINDOW]) for i in starts]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, 1), batch.column(2).slice(row, 1), pa.array([found], pa.list_(pa.string()))],
-                    ["doc_id", "toxic", "windows"],
-                )
-
-    found = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", "toxic")
-    rows = found.mapInArrow(cut, "doc_id long, toxic int, windows array<string>").collect()
+                best[doc_id] = order, toxic, [" ".join(words[i : i + WINDOW]) for i in starts]
+        for doc_id, (order, toxic, found) in best.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([doc_id], pa.int64()), pa.array([toxic], pa.int32()), pa.array([order], pa.int64()), pa.array([found], pa.list_(pa.string()))],
+                ["doc_id", "toxic", "order", "windows"],
+            )
+
+    found = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", "toxic", F.xxhash64("text").alias("order"))
+    cuts = found.mapInArrow(cut, "doc_id long, toxic int, order long, windows array<string>")
+    one = F.min(F.struct("order", "windows"))
+    rows = cuts.groupBy("doc_id", "toxic").agg(one.alias("one")).select("doc_id", "toxic", "one.windows").collect()
     rows.sort(key=lambda r: (r.doc_id, r.windows))
     return [[w.split(" ") if w else [] for w in r.windows] for r in rows], np.array([r.toxic for r in rows])
 

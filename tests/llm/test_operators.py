@@ -21,7 +21,7 @@ from marlstone.llm.decontaminate import clean, leaks  # noqa: E402
 from marlstone.llm.part_enum import groups, keep_one  # noqa: E402
 from marlstone.llm.templates import main_text  # noqa: E402
 from marlstone.llm.token_files import SequenceFile, token_files, write_shards  # noqa: E402
-from marlstone.llm.toxicity import Network, Scorer, score, toxicity, train, words_of  # noqa: E402
+from marlstone.llm.toxicity import Network, Scorer, sample, score, toxicity, train, words_of  # noqa: E402
 from marlstone.llm.trie_bpe import TrieBpe, encode_decode  # noqa: E402
 from marlstone.llm.url_rules import judge  # noqa: E402
 from tests.compare import connect, differences  # noqa: E402
@@ -372,6 +372,17 @@ def test_toxicity_reads_all_of_long_words():
     assert words_of('A "' + "b" * 24 + '!!!" c') == ["a", '"' + "b" * 24 + '!!!"', "c"]
 
 
+def test_sample_takes_one_row_of_a_doc_id(spark):
+    texts = [f"text {i}" for i in range(60)]
+    docs = documents(spark, texts, [1] * 50 + [2] * 8 + [3, 6])
+    labels = spark.createDataFrame([(i, i % 2) for i in (1, 2, 3, 6)], "doc_id long, toxic int")
+    kept = [i for i in (1, 2, 3, 6) if zlib.crc32(str(i).encode()) % 5]
+    found, toxic = sample(docs, labels)
+    assert len(found) == len(kept) == len(toxic) and toxic.tolist() == [i % 2 for i in kept]
+    again, _ = sample(docs.repartition(7), labels)
+    assert found == again
+
+
 def test_toxicity_without_labels(spark):
     network = train([], np.array([]))
     assert score(documents(spark, ["a", None]), network).filter("predicted = 0").count() == 2
