@@ -8,7 +8,11 @@ has enough equal words.  The masks below hit every window of 13 words with at
 most two substitutions, wherever those are, so nothing within the tolerance is
 lost.
 
-Only SQL functions are used.  Words are letters and digits, in lower case.
+Items with fewer words than a window are compared whole with every stretch of as
+many words.
+
+Only SQL functions are used.  Words are letters and digits, in lower case; in
+scripts written without spaces each character is a word.
 """
 
 from __future__ import annotations
@@ -23,9 +27,15 @@ SPAN = 1 + max(map(max, MASKS))
 WINDOW, SUBSTITUTIONS = 13, 2
 
 
+#: Scripts written without spaces.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
+
+
 def words(text: str = "text") -> Column:
     """Hashes of the words of a text, in order."""
-    split = F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{M}\p{N}]+")
+    low, between = F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{M}\p{N}]+"
+    spaced = F.when(low.rlike(UNSPACED), F.regexp_replace(low, f"({UNSPACED})(\\p{{M}}*)", " $1$2 ")).otherwise(low)
+    split = F.split(spaced, between)
     return F.transform(F.filter(split, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
@@ -40,12 +50,27 @@ def seeds(df: DataFrame, *keys: str) -> DataFrame:
     return places.select(*keys, "pos", F.explode(F.array(*hashes)).alias("seed")).filter(F.col("seed").isNotNull())
 
 
+def _short_hits(docs: DataFrame, items: DataFrame, *keys: str) -> DataFrame:
+    """keys, item and doc_word, the last place, for items of fewer words than a window that stand in a document."""
+    short = items.filter(F.size("words") < WINDOW).select("item", F.size("words").alias("n"), F.xxhash64("words").alias("whole"))
+    lengths = sorted(r.n for r in short.select("n").distinct().collect())  # fewer than a window has words
+    if not lengths:
+        docs = docs.limit(0)  # no second pass over the documents
+    n = F.size("words")
+    places = docs.select(*keys, "words", F.explode(F.lit(lengths).cast("array<int>")).alias("n")).filter(n >= F.col("n"))
+    hashes = F.transform(F.sequence(F.lit(0), n - F.col("n")), lambda i: F.xxhash64(F.slice("words", i + 1, F.col("n"))))
+    places = places.select(*keys, "n", F.posexplode(hashes).alias("doc_word", "whole"))
+    found = places.join(broadcast_if_small(written(short, "short-items")), ["n", "whole"])
+    return found.groupBy(*keys, "item").agg(F.max("doc_word").cast("bigint").alias("doc_word"))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Pairs of a document (doc_id, text) and a benchmark passage (item_id, text) that it holds.
 
     Returns doc_id, item_id (the smallest of the items with that text), matched (equal words in the best window),
     doc_word and item_word (where that window starts, from 0) and n_items (items with that text).  A window is 13
-    words, of which 11 must be equal.  Texts with fewer words, null or empty ones match nothing.  Documents with
+    words, of which 11 must be equal.  An item with fewer words must stand in the document word for word, and the window is
+    the item.  Texts without words match nothing.  Documents with
     equal doc_id and text, and those with a null doc_id, give a row each time they occur.  Empty tables give no rows.
     """
     found = _keyed_leaks(docs, benchmark).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
@@ -56,17 +81,24 @@ def _keyed_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Columns of ``leaks``, key columns and copies, one row for documents that are copies of one another."""
     items = benchmark.select("item_id", words().alias("words"))
     items = items.groupBy("words").agg(F.min("item_id").alias("item_id"), F.count("*").alias("n_items"))
-    items = written(items.filter(F.size("words") >= WINDOW).withColumn("item", F.monotonically_increasing_id()), "items")
+    items = written(items.filter(F.size("words") > 0).withColumn("item", F.monotonically_increasing_id()), "items")
     keys = ["key_id", "key_hash"]
     lookup = written(seeds(items, "item").withColumnRenamed("pos", "item_pos").distinct(), "item-seeds")
     keyed = docs.select(*row_key(), "doc_id", "text")
     places = seeds(keyed.select(*keys, words().alias("words")), *keys)
     diagonals = places.join(broadcast_if_small(lookup), "seed").select(*keys, "item", (F.col("pos") - F.col("item_pos")).alias("shift"))
     hits = written(diagonals.distinct(), "hits")
+    exact = written(_short_hits(keyed.select(*keys, words().alias("words")), items, *keys), "short-hits")
     # Only documents with a hit are read again, once for each time they occur.
-    hit_docs = broadcast_if_small(written(hits.select(*keys).distinct(), "hit-docs"))
+    hit_docs = hits.select(*keys).unionByName(exact.select(*keys)).distinct()
+    hit_docs = broadcast_if_small(written(hit_docs, "hit-docs"))
     again = keyed.join(hit_docs, keys, "left_semi").select(*keys, "doc_id", words().alias("doc_words"))
     again = again.groupBy(*keys, "doc_id").agg(F.first("doc_words").alias("doc_words"), F.count("*").alias("copies"))
+    again = written(again, "hit-words")
+    whole = exact.join(again, keys).join(broadcast_if_small(items), "item")
+    whole = whole.select(
+        *keys, "doc_id", "copies", "item_id", F.size("words").cast("bigint").alias("matched"), "doc_word", F.lit(0).cast("bigint").alias("item_word"), "n_items"
+    )
     lined = hits.join(again, keys).join(broadcast_if_small(items), "item")
     lined = lined.withColumn("start", F.greatest(F.lit(0), -F.col("shift")))
     lined = lined.withColumn("n", F.least(F.size("words"), F.size("doc_words") - F.col("shift")) - F.col("start"))
@@ -83,7 +115,7 @@ def _keyed_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         ),
     )
     best = F.max(F.struct("window.matched", (F.col("window.at") - F.col("start")).alias("item_at"), F.col("shift"))).alias("best")
-    return (
+    long = (
         lined.withColumn("equal", equal)
         .withColumn("window", F.array_max(counts))
         .filter(F.col("window.matched") >= WINDOW - SUBSTITUTIONS)
@@ -100,6 +132,7 @@ def _keyed_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             "n_items",
         )
     )
+    return long.unionByName(whole)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

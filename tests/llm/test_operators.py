@@ -337,6 +337,17 @@ def test_leaks_against_brute_force(spark):
     assert expected and {r.doc_id for r in clean(docs, benchmark).collect()} == set(range(len(texts))) - {d for d, _ in expected}
 
 
+def test_leaks_of_short_and_unspaced_items(spark):
+    items = ["What is the capital?", "日本の首都はどこですか", "これは十三文字より長い問題の文章です", "บ้านนี้", "what is"]
+    texts = ["so: what is, THE capital! And what is the capital", "what was the capital", "前文。日本の首都はどこですか。", "あのこれは十三文字より永い問題の文章ですよ", "ดูบ้านนี้สิ", "is", None]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = documents(spark, [*texts, texts[2]], [*range(7), 2])
+    found = sorted((r.doc_id, r.item_id, r.matched, r.doc_word) for r in leaks(docs, benchmark).collect())
+    assert [f[:2] for f in found] == [(0, 0), (0, 4), (2, 1), (2, 1), (3, 2), (4, 3)]
+    assert found[0][2:] == (4, 6) and found[2][2:] == (11, 2)
+    assert sorted(r.doc_id for r in clean(docs, benchmark).collect()) == [1, 5, 6]
+
+
 def test_clean_keeps_rows_that_share_an_id_with_a_leak(spark):
     passage = " ".join(f"word{i}" for i in range(14))
     texts = [passage, "clean one", None, passage + " more", "clean two", "clean three", passage]
