@@ -43,3 +43,13 @@ def moved(edges: DataFrame, labels: DataFrame) -> DataFrame:
         at = labels.select(F.col("node").alias(end), F.col("comp").alias("to"))
         edges = edges.join(at, end, "left").withColumn(end, F.coalesce("to", end)).drop("to")
     return edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def merge_labels(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Labels (node, comp) after the links (a, b) are added to those that made ``labels``."""
+    if labels is None:
+        return components(links)
+    more = components(moved(links, labels)).select(F.col("node").alias("comp"), F.col("comp").alias("up"))
+    old = labels.join(more, "comp", "left").select("node", F.coalesce("up", "comp").alias("comp"))
+    new = more.join(labels.select(F.col("node").alias("comp")), "comp", "left_anti")
+    return written(old.unionByName(new.select(F.col("comp").alias("node"), F.col("up").alias("comp"))), "labels")
