@@ -32,6 +32,7 @@ SYMBOLS = 3
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
 HELD = 200_000  # distinct words a task counts before it passes them on
 CELLS = 1_000_000  # numbers in a matrix of neighbours
+CARRIED = 64  # letters of a word up to which its keys carry it; longer words are looked up for the pairs that meet
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -103,11 +104,11 @@ class Reduced:
         return np.concatenate(out, 1)
 
 
-KEYS = "key long, id long"
+KEYS = "key long, id long, word string"
 
 
 def _keyed(words: DataFrame, symbols: int, neighbours: bool) -> DataFrame:
-    """The keys of each word (id, word): its own, or those of its neighbourhood."""
+    """The keys of each word (id, word), its own or those of its neighbourhood, with the word if it is short."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,8 +124,10 @@ def _keyed(words: DataFrame, symbols: int, neighbours: bool) -> DataFrame:
                     found = np.sort(made.neighbours() if neighbours else made.keys(), axis=1)
                     new = np.ones(found.shape, bool)
                     new[:, 1:] = found[:, 1:] != found[:, :-1]
-                    ids = np.repeat(chosen.column(0).to_numpy(), new.sum(1))
-                    yield pa.RecordBatch.from_arrays([pa.array(found[new].view(np.int64)), pa.array(ids)], ["key", "id"])
+                    owner = pa.array(np.repeat(np.arange(chosen.num_rows), new.sum(1)))
+                    carried = chosen.column(1).take(owner) if length <= CARRIED else pa.nulls(len(owner), pa.string())
+                    made = [pa.array(found[new].view(np.int64)), chosen.column(0).take(owner), carried]
+                    yield pa.RecordBatch.from_arrays(made, ["key", "id", "word"])
 
     return words.select("id", "word").mapInArrow(run, KEYS)
 
@@ -169,9 +172,10 @@ def count_words(docs: DataFrame, damage: int | None = None) -> DataFrame:
 def near_pairs(words: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
     """word, n, near, near_n: all ordered pairs of distinct words (word, n) that differ by exactly one code point."""
     numbered = written(words.select(F.monotonically_increasing_id().alias("id"), "word", "n"), "words")
-    mine = _keyed(numbered, symbols, neighbours=True).withColumnRenamed("id", "a")
-    theirs = _keyed(numbered, symbols, neighbours=False).withColumnRenamed("id", "b")
-    pairs = mine.join(theirs, "key").filter("a <> b").select("a", "b").distinct()
+    mine = _keyed(numbered, symbols, neighbours=True).withColumnsRenamed({"id": "a", "word": "a_word"})
+    theirs = _keyed(numbered, symbols, neighbours=False).withColumnsRenamed({"id": "b", "word": "b_word"})
+    fits = F.coalesce(F.levenshtein("a_word", "b_word", 1) == 1, F.col("a") != F.col("b"))
+    pairs = mine.join(theirs, (mine["key"] == theirs["key"]) & fits).select("a", "b").distinct()
     ends = numbered.select(F.col("id").alias("b"), F.col("word").alias("near"), F.col("n").alias("near_n"))
     found = pairs.join(ends, "b").join(numbered.withColumnRenamed("id", "a"), "a")
     return found.filter(F.levenshtein("word", "near", 1) == 1).select("word", "n", "near", "near_n")
