@@ -11,20 +11,23 @@ first is greater, the second is greater, or neither: of these the likelihood of
 every similarity follows, and a pair is set aside only where the required one is
 far less likely than the best.  All others are verified on their full sets.
 
-Equal sets are one node from the start.  Each node is first compared with the
-pivot it shares most buckets with, and linked nodes are merged.  Only buckets
+Equal sets are one node from the start.  Each node is first compared with one hub,
+the set of a bucket that meets most others, and linked nodes are merged.  Only buckets
 that still hold several components go on, and their members are compared with
-more pivots each round, until every pair of a bucket is compared or joined.
+more pivots each round, until every pair of a bucket is compared or joined.  There,
+sizes and parities, which bound the difference of two sets from below, spare the
+estimate for most pairs of a crowd that is nearly but not quite similar.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.llm.common import broadcast_if_small, row_key, written
@@ -38,6 +41,7 @@ COARSE = 100  # powers of the base in one step of a stored register
 ROWS, DEALS = 6, 2  # registers of a band; how often the registers are dealt to bands
 NATS = 20  # how much less likely the required similarity must be for a pair to be set aside
 PIVOTS = (8, 64, 512)  # of a bucket in each round after the first; the last number repeats
+PLACES = 1024  # of the parities
 CHUNK = 2048  # elements at a time
 
 _SEEDS = np.random.default_rng(20210101)
@@ -101,7 +105,24 @@ def estimate(a: np.ndarray, b: np.ndarray, a_size: np.ndarray, b_size: np.ndarra
     return best, np.where(best < percent / 100, behind, 0.0)
 
 
-SETS = "key_id long, key_hash long, doc_id long, n_shingles long, node binary, registers binary, bands array<long>"
+def parities(elements: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of elements dealt to places; two sets differ in at least as many elements as parities."""
+    dealt = np.bincount((elements % np.uint64(PLACES)).astype(np.int64), minlength=PLACES)
+    return np.packbits((dealt & 1).astype(np.uint8)).view(np.int64)
+
+
+def _may_link(percent: int) -> Column:
+    """False for pairs whose sizes or parities already differ too much to be similar."""
+    least, most = F.least("a_size", "size"), F.greatest("a_size", "size")
+    words = (F.bit_count(F.col("a_parities")[i].bitwiseXOR(F.col("parities")[i])) for i in range(PLACES // 64))
+    differ = reduce(Column.__add__, words)
+    return (100 * least >= percent * most) & ((100 + percent) * differ <= (100 - percent) * (least + most))
+
+
+SETS = (
+    "key_id long, key_hash long, doc_id long, n_shingles long, node binary, "
+    "registers binary, parities array<long>, bands array<long>"
+)
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
@@ -117,15 +138,15 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
                 for text in part.column(3):
                     found = shingles(text.as_py(), n)
                     node = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
-                    row = [len(found), node, None, None]
+                    row = [len(found), node, None, None, None]
                     if len(found) and node not in seen:
                         if len(seen) >= 500_000:
                             seen.clear()
                         seen.add(node)
                         sketch = registers(found)
-                        row[2:] = coarse(sketch).tobytes(), bands(sketch).view(np.int64)
+                        row[2:] = coarse(sketch).tobytes(), parities(found), bands(sketch).view(np.int64)
                     made.append(row)
-                kinds = (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
+                kinds = (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
                 added = [pa.array(c, k) for c, k in zip(zip(*made, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], *added], names)
 
@@ -187,7 +208,7 @@ def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of buckets whose members are not all in one component."""
     placed = members.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     ends = placed.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high")
-    return written(placed.join(ends.select("bucket"), "bucket").select("bucket", "id", "comp"), "mixed")
+    return written(placed.join(ends.select("bucket"), "bucket").select("bucket", "id", "degree", "comp"), "mixed")
 
 
 def sketch_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -203,33 +224,39 @@ def sketch_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """
     with scratch_table(_sets(docs, n), "sketches") as made:  # wide, and gone after this block
         sets = written(made.select("doc_id", "n_shingles", "node"), "sets")
-        first = [F.first(c, ignorenulls=True).alias(c) for c in ("registers", "bands")]
+        first = [F.first(c, ignorenulls=True).alias(c) for c in ("registers", "parities", "bands")]
         key = F.min(F.struct("key_id", "key_hash")).alias("key")
         nodes = made.filter(F.col("bands").isNotNull()).groupBy("node").agg(F.min("n_shingles").alias("size"), key, *first)
         with scratch_table(nodes.withColumn("id", F.monotonically_increasing_id()), "banded") as banded:
             nodes = written(banded.drop("bands"), "nodes")
             dealt = banded.select(F.explode("bands").alias("bucket"), "id").repartition("bucket")
-            shared = dealt.groupBy("bucket").agg(F.min("id").alias("pivot"), F.count("*").alias("n")).filter("n > 1")
-            members = written(dealt.join(shared.drop("n"), "bucket"), "members")
-    met = members.filter("id <> pivot").groupBy(F.col("pivot").alias("a"), F.col("id").alias("b")).agg(F.count("*").alias("n"))
-    pairs = met.groupBy("b").agg(F.max(F.struct("n", "a")).alias("best")).select("best.a", "b")
-    rest, labels, done = members.select("bucket", "id"), None, 0
+            crowds = dealt.groupBy("bucket").agg(F.count("*").alias("crowd")).filter("crowd > 1")
+            members = written(dealt.join(crowds, "bucket"), "members")
+    degrees = members.groupBy("id").agg(F.sum("crowd").alias("degree"))
+    members = written(members.drop("crowd").join(degrees, "id"), "ranked")
+    hubs = members.groupBy("bucket").agg(F.max(F.struct("degree", "id")).alias("hub"))
+    met = members.join(hubs, "bucket").filter("id <> hub.id").groupBy(F.col("hub.id").alias("a"), F.col("id").alias("b"))
+    best = F.max(F.struct("n", "a")).alias("best")
+    pairs = met.agg(F.count("*").alias("n")).groupBy("b").agg(best).select("best.a", "b")
+    rest, labels, done = members, None, 0
     while True:
         likely = written(_likely(pairs, nodes, percent), "likely")
         labels = merge_labels(labels, _verified(likely, docs, nodes, n, percent))
         rest = _mixed(rest, labels)
         if rest.isEmpty():
             break
+        rest = rest.join(nodes.select("id", "size", "parities"), "id")
         n_pivots, done = PIVOTS[min(done, len(PIVOTS) - 1)], done + 1
-        in_order = Window.partitionBy("bucket").orderBy("id")
-        pivots = rest.withColumn("rank", F.row_number().over(in_order)).filter(F.col("rank") <= n_pivots)
-        pivots = written(pivots.select("bucket", F.col("id").alias("a"), F.col("comp").alias("a_comp")), "pivots")
-        others = rest.join(pivots.select("bucket", F.col("a").alias("id")), ["bucket", "id"], "left_anti")
-        others = written(others, "others")
-        # Pivots come first in the order of ids, so each pair is met once, from its smaller id.
-        found = pivots.join(rest, "bucket").filter((F.col("a") < F.col("id")) & (F.col("a_comp") != F.col("comp")))
-        pairs = found.select("a", F.col("id").alias("b")).distinct()
-        rest = others.select("bucket", "id")
+        hubs_first = Window.partitionBy("bucket").orderBy(F.col("degree").desc(), "id")
+        pivots = rest.withColumn("rank", F.row_number().over(hubs_first)).filter(F.col("rank") <= n_pivots)
+        pivots = written(pivots.drop("rank"), "pivots")
+        others = rest.join(pivots.select("bucket", "id"), ["bucket", "id"], "left_anti")
+        others = written(others.select("bucket", "id", "degree"), "others")
+        ends = pivots.select("bucket", *(F.col(c).alias(f"a_{c}") for c in pivots.columns if c != "bucket"))
+        before = (F.col("a_degree") > F.col("degree")) | (F.col("a_degree") == F.col("degree")) & (F.col("a_id") < F.col("id"))
+        found = ends.join(rest, "bucket").filter(before & (F.col("a_comp") != F.col("comp")) & _may_link(percent))
+        pairs = found.select(F.col("a_id").alias("a"), F.col("id").alias("b")).distinct()
+        rest = others
     known = sets.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     named = known.join(nodes.select("node", "id"), "node").join(labels.withColumnRenamed("node", "id"), "id", "left")
     named = written(named.select("node", F.coalesce("comp", "id").alias("comp"), "least"), "named")
