@@ -16,71 +16,52 @@ EncodeMany = Callable[[Sequence[str]], Iterable[bytes]]
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
-class _Memory(dict):
-    """Ids by piece; a piece that is not known answers None and is noted."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: dict[str, None] = {}
-
-    def __missing__(self, piece: str) -> None:
-        self.new[piece] = None
-
-
 class PieceEncoder:
-    """Ids of texts as little-endian bytes; remembers about ``limit`` pieces and then starts anew."""
+    """Ids of texts as little-endian bytes; remembers about ``limit`` pieces and then starts anew.
+
+    A piece is known by a key: itself where it follows a space, a line break and itself where it follows that.  Texts
+    are read as if a line break stood in front, whose id is taken off again.
+    """
 
     def __init__(self, encode_many: EncodeMany, limit: int = 1_000_000):
         self._encode_many = encode_many
         self._limit = limit
-        self._clear()
-
-    def _clear(self) -> None:
-        self._spaced, self._bare = _Memory(), _Memory()  # ids of " " + piece, ids of the piece itself
-        self._bare["\n"] = next(iter(self._encode_many(["\n"])))
+        self._known: dict[str, bytes] = {}
+        self._newline = next(iter(encode_many(["\n"])))
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
-        if len(self._spaced) + len(self._bare) > self._limit:
-            self._clear()
-        plans = [self._read(text) for text in texts]
-        unsafe = self._learn()
-        if unsafe:
-            for i, text in enumerate(texts):
-                if any(p in unsafe for line in text.split("\n") for p in line.split(" ")):
+        known, out, plans = self._known, [], []
+        if len(known) > self._limit:
+            known.clear()
+        for text in texts:
+            keys = f"\n{text}".replace("\n", " \n").split(" ")[1:] if text else []
+            plans.append((keys, [*map(known.get, keys)]))
+        unsafe = self._learn({k for keys, ids in plans if None in ids for k, i in zip(keys, ids) if i is None})
+        for text, (keys, ids) in zip(texts, plans):
+            if None in ids:
+                if not unsafe.isdisjoint(keys):
                     head, *rest = _SAFE_SPACE.split(text)
-                    plans[i] = [(head, self._bare[head], rest, [*map(self._spaced.__getitem__, rest)])]
-            self._learn(safe=True)
-        newline, spaced, bare = self._bare["\n"], self._spaced, self._bare
-        out = []
-        for lines in plans:
-            parts = []
-            for head, head_ids, rest, ids in lines:
-                parts += (newline, bare[head] if head_ids is None else head_ids)
-                parts += [spaced[p] if i is None else i for p, i in zip(rest, ids)] if None in ids else ids
-            out.append(b"".join(parts[1:]))
+                    keys = [f"\n{head}", *rest]
+                    self._learn({k for k in keys if k not in known}, safe=True)
+                ids = map(known.__getitem__, keys)
+            out.append(b"".join(ids)[len(self._newline) :])
         return out
 
-    def _read(self, text: str) -> list[tuple[str, bytes | None, list[str], list[bytes | None]]]:
-        """Lines of a text: first piece and its ids, further pieces, which follow a space, and theirs."""
-        lines = []
-        for line in text.split("\n") if text else ():
-            head, *rest = line.split(" ")
-            lines.append((head, self._bare[head], rest, [*map(self._spaced.__getitem__, rest)]))
-        return lines
-
-    def _learn(self, safe: bool = False) -> set[str]:
-        """Encode what was noted; pieces that are empty or have white space at an end are returned instead."""
-        unsafe = set()
-        for known, prefix in ((self._bare, ""), (self._spaced, " ")):
-            new, known.new = list(known.new), {}
+    def _learn(self, new: set[str], safe: bool = False) -> set[str]:
+        """Encode pieces by key; those that are empty or have white space at an end are returned instead."""
+        unsafe, known = set(), self._known
+        for first in (True, False):
+            pieces = [k[1:] if first else k for k in new if (k[:1] == "\n") == first]
             if not safe:
-                unsafe.update(p for p in new if p.strip() != p or not p)
-                new = [p for p in new if p not in unsafe]
+                unsafe.update(f"\n{p}" if first else p for p in pieces if p.strip() != p or not p)
+                pieces = [p for p in pieces if p and p.strip() == p]
+            mark, prefix, start = ("\n", "", self._newline) if first else ("", " ", b"")
             # A Latin word and the punctuation behind it are encoded apart.
-            cores = {p: core for p in new if (core := p.rstrip(".,;:!?")) != p and core.isalpha() and max(core) < "\u0250"}
-            alone = [p for p in {cores.get(p, p) for p in new} if p not in known]
-            known.update(zip(alone, self._encode_many([prefix + p for p in alone]), strict=True))
-            ends = [p for p in {p[len(core) :] for p, core in cores.items()} if p not in self._bare]
-            self._bare.update(zip(ends, self._encode_many(ends), strict=True))
-            known.update((p, known[core] + self._bare[p[len(core) :]]) for p, core in cores.items())
+            cores = {p: core for p in pieces if (core := p.rstrip(".,;:!?")) != p and core.isalpha() and max(core) < "\u0250"}
+            alone = [p for p in {cores.get(p, p) for p in pieces} if mark + p not in known]
+            made = self._encode_many([prefix + p for p in alone])
+            known.update((mark + p, start + ids) for p, ids in zip(alone, made, strict=True))
+            ends = [*{p[len(core) :] for p, core in cores.items()}]
+            tails = dict(zip(ends, self._encode_many(ends), strict=True))
+            known.update((mark + p, known[mark + core] + tails[p[len(core) :]]) for p, core in cores.items())
         return unsafe

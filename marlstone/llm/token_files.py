@@ -163,11 +163,14 @@ def write_shards(
         encoder, writer, first = library_encoder(tokenizer, dtype), None, None
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                for row in batch.slice(at, 256).to_pylist():
-                    if writer is None:
-                        writer = ShardWriter(folder, length, rows, dtype, end_id)
-                        first = (row["doc_id"], row["row"])
-                    writer.add(row["doc_id"], encoder.encode([row["text"] or ""])[0])
+                part = batch.slice(at, 256)
+                doc_ids = part.column(0).to_pylist()
+                if writer is None:
+                    writer = ShardWriter(folder, length, rows, dtype, end_id)
+                    first = (doc_ids[0], part.column(2)[0].as_py())
+                found = encoder.encode([t or "" for t in part.column(1).to_pylist()])
+                for doc_id, ids in zip(doc_ids, found, strict=True):
+                    writer.add(doc_id, ids)
         if writer is not None:
             writer.close()
             row = [*first, writer.ids_file, writer.docs_file, writer.n_docs, writer.n_ids]
