@@ -16,7 +16,6 @@ mislabelled and left out.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -238,27 +237,63 @@ class Scorer:
         return np.array([sigmoid(np.float64(x.max() - self._net.shift)) for x in self.window_logits(texts)])
 
 
-def train(texts: Sequence[list[list[str]]], labels: np.ndarray, *, seed: int = 7, steps: int = 900, batch: int = 128, vocabulary: int = 4000) -> Network:
-    """Fit a network to documents, each given as windows of words, and their labels."""
+class _Windows:
+    """Windows of documents as numbers of their words; 0 stands for no word."""
+
+    def __init__(self, texts: Sequence[Sequence[str]]):
+        number: dict[str, int] = {}
+        self.owner = np.repeat(np.arange(len(texts)), [len(doc) for doc in texts])
+        self.places = np.zeros((len(self.owner), WINDOW), np.int32)
+        for row, window in zip(self.places, (w for doc in texts for w in doc), strict=True):
+            found = [number.setdefault(w, len(number) + 1) for w in window.split(" ")] if window else []
+            row[: len(found)] = found
+        order = sorted(number)
+        moved = np.zeros(len(order) + 1, np.int32)
+        moved[[number[w] for w in order]] = np.arange(1, len(order) + 1)
+        self.places, self.words = moved[self.places], order
+
+    def informative(self, labels: np.ndarray, apart: np.ndarray, limit: int) -> list[str]:
+        """Words, without punctuation around them, whose share of documents differs most between the labels."""
+        plain = sorted({w.strip(STRIP) or w for w in self.words})
+        at = {w: i + 1 for i, w in enumerate(plain)}
+        to = np.array([0, *(at[w.strip(STRIP) or w] for w in self.words)])
+        seen = np.zeros((2, len(plain) + 1))
+        ends = np.searchsorted(self.owner, np.arange(len(labels) + 1))
+        for d in np.flatnonzero(~apart):
+            seen[int(labels[d]), np.unique(to[self.places[ends[d] : ends[d + 1]]])] += 1
+        n = [max(1, int((labels[~apart] == y).sum())) for y in (0, 1)]
+        odds = np.abs(np.log((seen[1] + 0.5) / (n[1] + 1)) - np.log((seen[0] + 0.5) / (n[0] + 1)))
+        common = 1 + np.flatnonzero(seen[:, 1:].sum(0) > 2)
+        return [plain[i - 1] for i in sorted(common, key=lambda i: (-odds[i], plain[i - 1]))[:limit]]
+
+
+def train(
+    texts: Sequence[Sequence[str]], labels: np.ndarray, toxic_share: float = 0.5, *,
+    seed: int = 7, steps: int = 900, batch: int = 128, vocabulary: int = 4000,
+) -> Network:
+    """Fit a network to documents, each given as windows of words between single spaces, and their labels.
+
+    Every fifth document of each label is kept from the training and sets the cut between the two answers, for which
+    the labels are taken to stand to each other as ``toxic_share`` says.
+    """
+    labels = np.asarray(labels)
     rng = np.random.default_rng(seed)
-    strip = [[[w.strip(STRIP) or w for w in window] for window in doc] for doc in texts]
-    seen = {label: Counter(w for doc, y in zip(strip, labels, strict=True) if y == label for w in {w for x in doc for w in x}) for label in (0, 1)}
-    n = {label: max(1, int((labels == label).sum())) for label in (0, 1)}
-    odds = {w: abs(np.log((seen[1][w] + 0.5) / (n[1] + 1)) - np.log((seen[0][w] + 0.5) / (n[0] + 1))) for w in seen[0] + seen[1] if seen[0][w] + seen[1][w] > 2}
-    net = Network.new(sorted(odds, key=lambda w: (-odds[w], w))[:vocabulary], rng)
-    windows = [(d, w) for d, doc in enumerate(texts) for w in doc]
-    owner = np.array([d for d, _ in windows])
-    truth = np.asarray(labels)[owner] if len(owner) else np.empty(0)
-    if not len(owner) or truth.min() == truth.max():
+    rank = np.zeros(len(labels), int)
+    for y in (0, 1):
+        rank[labels == y] = np.arange((labels == y).sum())
+    apart = rank % 5 == 4
+    if len(labels) < 50:  # too few to keep any apart
+        apart[:] = False
+    data = _Windows(texts)
+    places, owner = data.places, data.owner
+    fit = ~apart[owner] if len(owner) else np.zeros(0, bool)
+    net = Network.new(data.informative(labels, apart, vocabulary), rng)
+    truth = labels[owner] if len(owner) else np.empty(0)
+    if not fit.any() or truth[fit].min() == truth[fit].max():
         net.shift = 0.0 if len(owner) and truth.max() else 2.0  # one label only: nothing to learn
         return net
-    distinct = sorted({w for _, x in windows for w in x})
-    all_ids, all_grams = net.features(distinct)
+    all_ids, all_grams = net.features(data.words)
     all_ids, all_grams = np.insert(all_ids, 0, 0), np.insert(all_grams, 0, BUCKETS, axis=0)  # 0: no word
-    number = {w: i + 1 for i, w in enumerate(distinct)}
-    places = np.zeros((len(windows), WINDOW), np.int64)
-    for i, (_, x) in enumerate(windows):
-        places[i, : len(x)] = [number[w] for w in x]
 
     def judge_all() -> np.ndarray:
         table, out = net.project(net.inputs(all_ids, all_grams)), []
@@ -268,7 +303,7 @@ def train(texts: Sequence[list[list[str]]], labels: np.ndarray, *, seed: int = 7
         return np.concatenate(out)
 
     mean, square = ({k: np.zeros_like(v) for k, v in net.p.items()} for _ in range(2))
-    pools = {y: np.flatnonzero(truth == y) for y in (0, 1)}
+    pools = {y: np.flatnonzero((truth == y) & fit) for y in (0, 1)}
     hard = pools
     for step in range(1, steps + 1):
         if step in (steps // 3, steps * 2 // 3):
@@ -276,9 +311,9 @@ def train(texts: Sequence[list[list[str]]], labels: np.ndarray, *, seed: int = 7
             best = np.lexsort((-logit, owner))
             rank = np.empty(len(best), np.int64)
             rank[best] = np.arange(len(best)) - np.searchsorted(owner[best], owner[best])
-            hard = {1: np.flatnonzero((truth == 1) & (rank < 2) & (logit > 0)), 0: np.flatnonzero((truth == 0) & (rank < 2))}
+            hard = {y: np.flatnonzero((truth == y) & fit & (rank < 2) & ((logit > 0) | (y == 0))) for y in (0, 1)}
             if not len(hard[1]):
-                hard[1] = np.flatnonzero((truth == 1) & (rank < 1))
+                hard[1] = np.flatnonzero((truth == 1) & fit & (rank < 1))
         half = batch // 2
         chosen = np.concatenate([rng.choice(hard[1], half), rng.choice(hard[0], half // 2), rng.choice(pools[0], half - half // 2)])
         distinct, where = np.unique(places[chosen].T, return_inverse=True)
@@ -292,37 +327,54 @@ def train(texts: Sequence[list[list[str]]], labels: np.ndarray, *, seed: int = 7
             mean[k] = 0.9 * mean[k] + 0.1 * g
             square[k] = 0.99 * square[k] + 0.01 * g * g
             net.p[k] -= (rate * mean[k] / (1 - 0.9**step) / (np.sqrt(square[k] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
-    logit = judge_all()
-    top = np.full(len(texts), -np.inf)
-    np.maximum.at(top, owner, logit)
-    net.shift = _best_cut(top[np.isfinite(top)], np.asarray(labels)[np.isfinite(top)])
+    top = np.full(len(labels), -np.inf)
+    np.maximum.at(top, owner, judge_all())
+    judged = np.isfinite(top) & (apart if apart.any() and len(set(labels[apart])) == 2 else True)
+    net.shift = _cut(top[judged], labels[judged], toxic_share)
     return net
 
 
-def _best_cut(scores: np.ndarray, labels: np.ndarray) -> float:
-    """The score that divides the labels best, in the middle of the widest such gap; classes weigh the same."""
-    order = np.argsort(scores, kind="stable")
-    s, y = scores[order], labels[order]
-    right = np.concatenate([[0], np.cumsum(np.where(y == 0, 1 / max(1, (y == 0).sum()), -1 / max(1, (y == 1).sum())))])
-    edges = np.concatenate([[s[0] - 1], s, [s[-1] + 1]])
-    gaps = np.diff(edges)
-    best = np.flatnonzero(right >= right.max() - 0.002)
-    i = best[np.argmax(gaps[best])]
-    return float((edges[i] + edges[i + 1]) / 2)
+def _cut(scores: np.ndarray, labels: np.ndarray, toxic_share: float) -> float:
+    """The score at which both labels are equally likely, by a logistic curve through the scores.
+
+    A label's documents together weigh as much as its share.  A weak pull of the slope to 1 keeps the curve apart from
+    a step where the scores divide the labels.
+    """
+    weight = np.where(labels == 1, toxic_share / max(1, (labels == 1).sum()), (1 - toxic_share) / max(1, (labels == 0).sum()))
+    weight = weight * len(labels)
+    x = np.stack([scores, np.ones(len(scores))], 1)
+    at = np.array([1.0, 0.0])
+    for _ in range(50):
+        p = sigmoid(x @ at)
+        gradient = x.T @ (weight * (p - labels)) + np.array([at[0] - 1, 0.0])
+        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag([1.0, 1e-6])
+        step = np.linalg.solve(curve, gradient)
+        at = at - np.clip(step, -1, 1)
+    return float(-at[1] / max(at[0], 0.1))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
+def toxic_share(labels: DataFrame) -> float:
+    """Share of toxic among the labels that may be learnt from."""
+    found = _labelled(labels).agg(F.avg("toxic")).first()[0]
+    return 0.5 if found is None else min(max(found, 0.01), 0.99)
+
+
+def _labelled(labels: DataFrame) -> DataFrame:
+    usable = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out())
+    return usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+
+
 def sample(docs: DataFrame, labels: DataFrame, per_label: int = 1200, windows: int = 64) -> tuple[list, np.ndarray]:
     """Training windows: of each label the documents with the smallest hash of doc_id, never held-out ones.
 
     ``per_label`` bounds the documents of a label, ``windows`` the windows taken, evenly spread, from one document.
     Of rows that share a doc_id, the one whose text has the smallest hash is taken.
     """
-    labelled = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out())
-    labelled = labelled.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    labelled = _labelled(labels)
     known = docs.select("doc_id").distinct()
     chosen = None
     for label in (0, 1):
@@ -351,9 +403,9 @@ def sample(docs: DataFrame, labels: DataFrame, per_label: int = 1200, windows: i
     found = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", "toxic", F.xxhash64("text").alias("order"))
     cuts = found.mapInArrow(cut, "doc_id long, toxic int, order long, windows array<string>")
     one = F.min(F.struct("order", "windows"))
-    rows = cuts.groupBy("doc_id", "toxic").agg(one.alias("one")).select("doc_id", "toxic", "one.windows").collect()
-    rows.sort(key=lambda r: (r.doc_id, r.windows))
-    return [[w.split(" ") if w else [] for w in r.windows] for r in rows], np.array([r.toxic for r in rows])
+    rows = cuts.groupBy("doc_id", "toxic").agg(one.alias("one")).select("doc_id", "toxic", "one.windows").toArrow()
+    rows = rows.sort_by("doc_id")
+    return rows.column("windows").to_pylist(), rows.column("toxic").to_numpy()
 
 
 _SCORERS: dict[str, Scorer] = {}
@@ -392,4 +444,4 @@ def score(docs: DataFrame, network: Network, *, keep_columns: bool = False) -> D
 
 def toxicity(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """Train on labelled documents that are not held out and score all; see ``sample``, ``train`` and ``score``."""
-    return score(docs, train(*sample(docs, labels), **options))
+    return score(docs, train(*sample(docs, labels), toxic_share(labels), **options))
