@@ -10,14 +10,15 @@ from marlstone.llm.common import new_path, ship, table
 from marlstone.llm.credentials import redact
 from marlstone.llm.decontaminate import clean
 from marlstone.llm.part_enum import keep_one
-from marlstone.llm.toxicity import sample, score, train
+from marlstone.llm.toxicity import sample, score, toxic_share, train
 from marlstone.llm.trie_bpe import encode_decode
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that the network, trained on labelled ones, does not call toxic."""
     ship(spark)
-    network = train(*sample(docs, table(spark, folder, "labels")))
+    labels = table(spark, folder, "labels")
+    network = train(*sample(docs, labels), toxic_share(labels))
     return score(docs, network, keep_columns=True).filter(F.col("predicted") == 0).select(*docs.columns)
 
 
