@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from marlstone.entities import OPEN_END, TRACKED_CUSTOMER_COLUMNS
 from marlstone.functions.rules import differs, moment, surrogate_key
+from marlstone.sources.evolution import common_schema
 
 
 @dataclass(frozen=True)
@@ -152,8 +153,10 @@ def _closed(rules: HistoryRules, now: Column) -> dict[str, Column]:
 
 
 def _all_columns(current: DataFrame, incoming: DataFrame, rules: HistoryRules) -> dict[str, str]:
-    """Names and types of the union of both sides; the stored type wins."""
-    return {**dict(incoming.dtypes), **rules.validity_types(), **dict(current.dtypes)}
+    """Names and types of the union of both sides; where they differ, the least common type (``sources.evolution``)."""
+    both = {f.name: f.dataType.simpleString() for f in common_schema([current.schema, incoming.schema]).fields}
+    kinds = {**dict(incoming.dtypes), **rules.validity_types(), **dict(current.dtypes)}
+    return {name: both.get(name, kind) if name not in rules.validity_types() else kind for name, kind in kinds.items()}
 
 
 def _as_struct(df: DataFrame, columns: dict[str, str], name: str) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -149,6 +150,52 @@ def run_suite(
     return report
 
 
+def check_models(models: Mapping[str, DataFrame], suites: Mapping[str, object]) -> DataFrame:
+    """Violation counts of the checks of many models: (model, check_name, column_name, failures), as one plan.
+
+    All row checks of a model share one scan.  A key that models refer to is counted once for all of them: its values
+    in the model that owns it and in those that refer to it are shuffled together, so the count tells repeated and
+    missing ones alike.
+    """
+    reports = []
+    users: dict[tuple[str, str], list[tuple[str, str]]] = {}
+    for name, suite in suites.items():
+        tests = [("not_null", c, F.col(c).isNull()) for c in suite.not_null]
+        tests += [("accepted_values", c, ~F.col(c).isin(*values)) for c, values in suite.accepted_values.items()]
+        counts = models[name].agg(*[F.count_if(test).alias(f"n{i}") for i, (_, _, test) in enumerate(tests)])
+        rows = [_result(kind, c, F.col(f"n{i}")) for i, (kind, c, _) in enumerate(tests)]
+        reports.append(counts.select(F.inline(F.array(*rows))).withColumn("model", F.lit(name)))
+        for columns in suite.unique_combinations:
+            n = repeated(models[name], *columns).agg(F.count(F.lit(1)).alias("n"))
+            row = _result("unique_combination", ",".join(columns), F.col("n"))
+            reports.append(n.select(row.alias("r")).select("r.*", F.lit(name).alias("model")))
+        for column in suite.unique:
+            users.setdefault((name, column), [])
+        for column, owner in suite.references.items():
+            users.setdefault(owner, []).append((name, column))
+    for (owner, key), children in users.items():
+        sides = [(owner, key), *children]
+        values = [
+            models[m].filter(F.col(c).isNotNull()).select(F.col(c).alias("value"), F.lit(i).alias("side"))
+            for i, (m, c) in enumerate(sides)
+        ]
+        per_value = reduce(DataFrame.unionAll, values).groupBy("value")
+        per_value = per_value.agg(*[F.count_if(F.col("side") == i).alias(f"s{i}") for i in range(len(sides))])
+        failing = [F.count_if(F.col("s0") > 1).alias("f0")]
+        failing += [F.coalesce(F.sum(F.when(F.col("s0") == 0, F.col(f"s{i}"))), F.lit(0)).alias(f"f{i}") for i in range(1, len(sides))]
+        rows = [("unique", owner, key)] if key in suites[owner].unique else []
+        rows = [(*row, "f0") for row in rows] + [("relationships", m, c, f"f{i}") for i, (m, c) in enumerate(children, 1)]
+        made = [F.struct(F.lit(m).alias("model"), F.lit(k).alias("check_name"), F.lit(c).alias("column_name"), F.col(f).alias("failures")) for k, m, c, f in rows]
+        reports.append(per_value.agg(*failing).select(F.inline(F.array(*made))))
+    return reduce(DataFrame.unionAll, [r.select("model", "check_name", "column_name", "failures") for r in reports])
+
+
+def check_rows(model: str, name: str, violations: DataFrame, column: str) -> DataFrame:
+    """A check of its own, in the form of ``check_models``."""
+    n = violations.agg(F.count(F.lit(1)).alias("failures"))
+    return n.select(F.lit(model).alias("model"), F.lit(name).alias("check_name"), F.lit(column).alias("column_name"), "failures")
+
+
 def _result(kind: str, column: str, failures):
     return F.struct(
         F.lit(kind).alias("check_name"), F.lit(column).alias("column_name"), failures.alias("failures")

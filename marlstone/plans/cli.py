@@ -13,7 +13,8 @@ from marlstone.plans.gold_job import AGGREGATES, run_gold
 from marlstone.plans.outcomes import exit_status, run_each
 from marlstone.plans.session import build_session
 from marlstone.plans.silver_job import run_silver
-from marlstone.plans.warehouse import build_warehouse
+from marlstone.plans.silver_update import run_updates
+from marlstone.plans.warehouse import build_warehouse, check_warehouse, require_checks
 
 
 def _month(text: str) -> tuple[int, int]:
@@ -40,6 +41,7 @@ def parser() -> argparse.ArgumentParser:
     silver.add_argument("--entities", nargs="+", choices=list(ENTITIES))
     silver.add_argument("--null-threshold", type=float, help="one limit, in percent, for all columns")
     silver.add_argument("--run-id", help="repeating a finished run changes nothing")
+    silver.add_argument("--incremental", action="store_true", help="read only new batches and rewrite only what they change")
 
     gold = layers.add_parser("gold", help="silver tables to aggregates")
     gold.add_argument("--silver-base", required=True)
@@ -56,6 +58,7 @@ def parser() -> argparse.ArgumentParser:
     warehouse.add_argument("--warehouse", required=True)
     warehouse.add_argument("--batch-id", required=True)
     warehouse.add_argument("--as-of", type=date.fromisoformat)
+    warehouse.add_argument("--no-checks", action="store_true", help="build the models without checking them")
 
     documents = layers.add_parser("documents", help="nested order documents to two reports")
     documents.add_argument("--source-base", required=True)
@@ -78,6 +81,8 @@ def main(arguments: list[str] | None = None) -> int:
             layout=args.layout,
             as_of=args.as_of,
         )
+    elif args.layer == "silver" and args.incremental:
+        outcomes = run_updates(spark, args.bronze_base, args.silver_base, args.entities, args.null_threshold)
     elif args.layer == "silver":
         outcomes = run_silver(
             spark, args.bronze_base, args.silver_base, args.entities, args.null_threshold, run_id=args.run_id
@@ -94,12 +99,15 @@ def main(arguments: list[str] | None = None) -> int:
         )
     elif args.layer == "warehouse":
         at = datetime.now(timezone.utc)
-        outcomes = run_each(
-            ["warehouse"],
-            lambda _: sorted(
-                build_warehouse(spark, args.samples_path, args.warehouse, args.batch_id, at, args.as_of)
-            ),
-        )
+        models: dict = {}
+
+        def build(_: str) -> list[str]:
+            models.update(build_warehouse(spark, args.samples_path, args.warehouse, args.batch_id, at, args.as_of))
+            return sorted(models)
+
+        outcomes = run_each(["warehouse"], build)
+        if models and not args.no_checks:
+            outcomes += run_each(["checks"], lambda _: require_checks(check_warehouse(models, args.warehouse, args.batch_id)))
     else:
         steps = {
             "flatten": lambda: flatten_documents(spark, args.source_base, args.silver_base, args.layout),

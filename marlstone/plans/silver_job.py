@@ -6,6 +6,7 @@ import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marlstone.entities import BRONZE_COLUMNS, ENTITIES, choose
 from marlstone.functions.rules import moment, orderable
@@ -14,6 +15,7 @@ from marlstone.operators.history import SILVER_CUSTOMERS, HistoryRules, first_lo
 from marlstone.operators.quality import enforce_null_limits
 from marlstone.operators.silver import silver_rows, stamp_silver
 from marlstone.plans.outcomes import Outcome, run_each
+from marlstone.sources.evolution import disputed
 from marlstone.sources.readers import locate, read_parquet, within_months
 from marlstone.sources.scratch import scratch_table
 from marlstone.sources.versions import Commit, last_commit, read_versions, state, write_version
@@ -71,11 +73,22 @@ def merge_into(incoming: DataFrame, base: str, rules: HistoryRules, batch_id: st
         current = read_versions(spark, base, found.last, "current")
         if not rules.current_flag:
             current = current.drop("is_current")
-        rows = merge_batch(current, incoming, rules, at)
+        rows = merge_batch(current, _without_empty_text(incoming, current), rules, at)
     rows = rows.withColumn("is_current", rules.is_current())
     return write_version(rows, base, found.last.version + 1 if found.last else 1, batch_id, at)
 
 
+def _without_empty_text(incoming: DataFrame, current: DataFrame) -> DataFrame:
+    """``incoming`` with the stored type for text columns that are stored as another type and have no value here."""
+    kinds = {f.name: f.dataType for f in current.schema.fields}
+    text = [c for c in disputed([incoming.schema, current.schema]) if incoming.schema[c].dataType.simpleString() == "string"]
+    if not text:
+        return incoming
+    counts = incoming.agg(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(text)]).first()
+    empty = {c: F.lit(None).cast(kinds[c]) for c, n in zip(text, counts, strict=True) if not n}
+    return incoming.withColumns(empty)
+
+
 def read_history(spark: SparkSession, base: str, rules: HistoryRules) -> DataFrame:
     """All versions of a stored history."""
     rows = read_versions(spark, base, last_commit(spark, base))

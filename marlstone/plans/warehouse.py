@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from contextlib import ExitStack
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlstone.operators import marts
+from marlstone.operators import marts, quality
 from marlstone.operators.history import CUSTOMER_SNAPSHOT, customer_dimension
 from marlstone.operators.staging import STAGES
+from marlstone.operators.suites import SUITES
 from marlstone.plans.silver_job import run_snapshot
 from marlstone.sources.readers import locate, read_csv
-from marlstone.sources.writers import publish
+from marlstone.sources.scratch import scratch_table
+from marlstone.sources.writers import publish, write_table
 
 
 def staging_views(spark: SparkSession, samples_path: str) -> dict[str, DataFrame]:
@@ -51,3 +55,41 @@ def build_warehouse(
     for name, df in tables.items():
         models[name] = publish(df, name, locate(warehouse, "marts", name))
     return models
+
+
+class ChecksFailed(Exception):
+    """Models break some of their checks."""
+
+
+def check_warehouse(models: dict[str, DataFrame], warehouse: str, batch_id: str) -> DataFrame:
+    """Run all checks of the models, 127 declared ones and three of their own, and store the report of the batch.
+
+    The intermediate models are views over joins, so they are written out for the time of the checks; every check
+    reads stored rows.  Returns (model, check_name, column_name, failures).
+    """
+    with ExitStack() as stack:
+        stored = dict(models)
+        for name in ("int_order_enriched", "int_customer_360"):
+            suite = SUITES[name]
+            columns = {*suite.not_null, *suite.unique, *suite.accepted_values}
+            checked = models[name].select(*[c for c in models[name].columns if c in columns])
+            stored[name] = stack.enter_context(scratch_table(checked, f"checked-{name}"))
+        report = reduce(
+            DataFrame.unionAll,
+            [
+                quality.check_models(stored, SUITES),
+                quality.check_rows("dim_customers", "one_current", quality.not_one_current(stored["dim_customers"]), "customer_id"),
+                quality.check_rows("stg_orders", "total_positive", quality.nonpositive_totals(stored["stg_orders"]), "total"),
+                quality.check_rows("fct_daily_revenue", "share_is_100", quality.unbalanced_days(stored["fct_daily_revenue"]), "revenue_share_pct"),
+            ],
+        )
+        return write_table(report.coalesce(1), locate(warehouse, "checks", f"batch=id-{batch_id}"))
+
+
+def require_checks(report: DataFrame) -> int:
+    """Raise ``ChecksFailed`` naming the checks that fail; returns the number of checks."""
+    rows = report.collect()  # one row a check
+    broken = sorted(f"{r.model}.{r.check_name}({r.column_name}): {r.failures}" for r in rows if r.failures)
+    if broken:
+        raise ChecksFailed(f"{len(broken)} of {len(rows)} checks fail: " + "; ".join(broken))
+    return len(rows)

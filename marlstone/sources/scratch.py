@@ -60,6 +60,23 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if there is no such path."""
+    files, target = _hadoop(spark, path)
+    found = files.listStatus(target) if files.exists(target) else []
+    return sorted(f.getPath().getName() for f in found if f.isDirectory())
+
+
+def fingerprint(spark: SparkSession, path: str) -> str:
+    """Number, bytes and latest change of the files under a path; another one tells that it was written anew."""
+    files, target = _hadoop(spark, path)
+    found, n, size, latest = files.listFiles(target, True), 0, 0, 0
+    while found.hasNext():
+        status = found.next()
+        n, size, latest = n + 1, size + status.getLen(), max(latest, status.getModificationTime())
+    return f"{n}-{size}-{latest}"
+
+
 def remove(spark: SparkSession, path: str) -> None:
     files, target = _hadoop(spark, path)
     files.delete(target, True)

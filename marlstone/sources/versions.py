@@ -16,10 +16,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from marlstone.sources.evolution import as_schema, disputed
 from marlstone.sources.readers import locate
 from marlstone.sources.scratch import exists
 
@@ -61,8 +64,30 @@ def last_commit(spark: SparkSession, base: str) -> Commit:
 
 
 def read_versions(spark: SparkSession, base: str, commit: Commit, part: str = "all") -> DataFrame:
-    """The dimension as of a commit, or only its ``current`` or ``closed`` rows."""
-    stored = spark.read.schema(f"{commit.columns}, {FOLDERS}").parquet(base)
+    """The dimension as of a commit, or only its ``current`` or ``closed`` rows.
+
+    Rows closed by earlier versions keep the types they were written with; those that differ are cast on reading.
+    """
+    log = spark.read.schema(RECORD).json(locate(base, LOG)).filter(F.col("version") <= commit.version)
+    written_as: dict[str, list[int]] = {}
+    for row in log.select("version", "columns").distinct().collect():  # one row a version
+        written_as.setdefault(row.columns, []).append(row.version)
+    wanted = _schema(commit.columns)
+    changed = {c for c in written_as if disputed([_schema(c), wanted])}
+    kept = [v for c, versions in written_as.items() if c not in changed for v in versions]
+    parts = [_chosen(spark, base, commit.columns, commit, part, kept if changed else None)]
+    parts += [as_schema(_chosen(spark, base, c, commit, part, written_as[c]), parts[0].schema) for c in sorted(changed)]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _schema(columns: str) -> StructType:
+    return StructType.fromDDL(columns)
+
+
+def _chosen(spark: SparkSession, base: str, columns: str, commit: Commit, part: str, versions: list[int] | None) -> DataFrame:
+    stored = spark.read.schema(f"{columns}, {FOLDERS}").parquet(base)
+    if versions is not None:
+        stored = stored.filter(F.col("v").isin(versions))
     current = F.col("is_current") & (F.col("v") == commit.version)
     closed = ~F.col("is_current") & (F.col("v") <= commit.version)
     chosen = {"all": current | closed, "current": current, "closed": closed}[part]

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
+from marlstone.sources.evolution import union_evolved
 from marlstone.sources.readers import locate
-from marlstone.sources.scratch import remove, scratch_table
+from marlstone.sources.scratch import folders, remove, scratch_table
 
 BATCH_FOLDER = "batch_folder"
 
@@ -56,9 +59,39 @@ def add_batch(
     return write_table(df, batch_path(base, table, batch_id), partition_by)
 
 
-def read_batches(spark: SparkSession, base: str, table: str) -> DataFrame:
-    """All batches of a table, with the union of their columns."""
-    return spark.read.option("mergeSchema", True).parquet(locate(base, table)).drop(BATCH_FOLDER)
+def batch_ids(spark: SparkSession, base: str, table: str) -> list[str]:
+    """The batches of a table that are stored."""
+    mark = f"{BATCH_FOLDER}=id-"
+    return sorted(name.removeprefix(mark) for name in folders(spark, locate(base, table)) if name.startswith(mark))
+
+
+def read_batches(
+    spark: SparkSession, base: str, table: str, only: Sequence[str] | None = None
+) -> DataFrame:
+    """All batches of a table, or ``only`` some, with the union of their columns.
+
+    A column whose type changes between batches gets the least common one (``sources.evolution``).
+    """
+    path = locate(base, table)
+    paths = [path] if only is None else [batch_path(base, table, b) for b in only]
+    try:
+        merged = spark.read.option("mergeSchema", True).option("basePath", path).parquet(*paths)
+        return merged.drop(BATCH_FOLDER)
+    except (PySparkException, Py4JJavaError) as problem:
+        if "CANNOT_MERGE_SCHEMAS" not in str(problem):
+            raise
+    each = batch_ids(spark, base, table) if only is None else only
+    parts = [spark.read.option("basePath", path).parquet(batch_path(base, table, b)) for b in each]
+    by_schema: dict[str, list[int]] = {}
+    for i, part in enumerate(parts):
+        by_schema.setdefault(part.schema.json(), []).append(i)
+    alike = [
+        spark.read.schema(parts[found[0]].schema)
+        .option("basePath", path)
+        .parquet(*[batch_path(base, table, each[i]) for i in found])
+        for found in by_schema.values()
+    ]
+    return union_evolved([part.drop(BATCH_FOLDER) for part in alike])
 
 
 def write_csv(df: DataFrame, path: str) -> None:

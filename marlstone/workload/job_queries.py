@@ -6,13 +6,15 @@ from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
+from marlstone.entities import ENTITIES
 from marlstone.operators.history import CUSTOMER_SNAPSHOT, SILVER_CUSTOMERS
 from marlstone.operators.staging import stage_orders
-from marlstone.plans.bronze_job import QUARANTINE, ingest_entity
+from marlstone.plans.bronze_job import QUARANTINE, ingest_entity, ingest_frame
 from marlstone.plans.documents_job import flatten_documents, report_documents
 from marlstone.plans.gold_job import AGGREGATES, build_aggregate
 from marlstone.plans.silver_job import merge_into, process_entity, read_history, read_silver
-from marlstone.plans.warehouse import build_warehouse
+from marlstone.plans.silver_update import update_entity
+from marlstone.plans.warehouse import build_warehouse, check_warehouse
 from marlstone.sources.readers import locate, read_csv
 from marlstone.sources.scratch import new_path
 from marlstone.sources.writers import (
@@ -149,6 +151,66 @@ def silver_job_customers(spark, folder):
     return _silver(spark, folder, "customers")
 
 
+# Batch 2 returns the orders of some months.  Batch 3 was taken before batch 2 and arrives after it: it dates some orders
+# anew, but those of March are known more recently.
+RETURNED, REDATED = "order_date LIKE '1997-0%'", "order_date LIKE '1998-01%'"
+NEW_DATE = "1998-02-11"
+
+
+@query(
+    "silver_job_incremental",
+    with_inputs(
+        silver_queries.CLEAN_ORDERS_SQL,
+        "raw_orders",
+        revised=f"""SELECT * REPLACE (CASE WHEN {RETURNED} THEN 'Returned' ELSE status END AS status,
+            CASE WHEN {REDATED} THEN '{NEW_DATE}' ELSE order_date END AS order_date) FROM e_raw_orders""",
+        all_rows=silver_queries.COERCED_SQL.replace("e_raw_orders", "revised"),
+        coerced=f"SELECT * FROM all_rows WHERE {silver_queries.COMPLETE}",
+    ),
+)
+def silver_job_incremental(spark, folder):
+    """Three batches, each brought into silver before the next arrives."""
+    bronze, silver = new_path(spark, "bronze"), new_path(spark, "silver")
+    raw = load(spark, folder, "raw_orders")
+    batches = [
+        (raw, 1),
+        (raw.filter(RETURNED).withColumn("status", F.lit("Returned")), 3),
+        (raw.filter(f"order_date LIKE '1997-03%' OR {REDATED}").withColumn("order_date", F.lit(NEW_DATE)), 2),
+    ]
+    for number, (rows, taken) in enumerate(batches, 1):
+        ingest_frame(rows, ENTITIES["orders"], bronze, f"b-{number}", as_of=AS_OF, ingested_at=BATCH_TIMES[taken])
+        update_entity(spark, "orders", bronze, silver, null_limit=50.0, processed_at=_at(number))
+    return read_silver(spark, silver, "orders").drop("_silver_processed_at")
+
+
+@query(
+    "silver_job_evolution",
+    with_inputs(
+        f"""SELECT *, strftime(CAST(registration_date AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS effective_from,
+              '9999-12-31 00:00:00' AS effective_to, true AS is_current,
+              CASE customer_id % 3 WHEN 1 THEN CAST(customer_id % 7 AS VARCHAR) WHEN 2 THEN 'tier ' || customer_id % 5 END AS loyalty,
+              CASE customer_id % 3 WHEN 0 THEN CAST(customer_id % 10 AS DOUBLE) WHEN 1 THEN customer_id % 10 + 0.5 END AS points
+            FROM ({silver_queries.CLEAN_CUSTOMERS_SQL}) WHERE email IS NOT NULL""",
+        "raw_customers",
+    ),
+)
+def silver_job_evolution(spark, folder):
+    """A column without values, then numbers, then text; another whole, then fractional, then without values."""
+    bronze, silver = new_path(spark, "bronze"), new_path(spark, "silver")
+    raw, key = load(spark, folder, "raw_customers"), F.col("customer_id").cast("long")
+    batches = [
+        raw.withColumns({"loyalty": F.lit(None).cast("string"), "points": key % 10}),
+        raw.filter(key % 3 >= 1).withColumns({"loyalty": key % 7, "points": key % 10 + 0.5}),
+        raw.filter(key % 3 == 2).withColumns({"loyalty": F.concat(F.lit("tier "), (key % 5).cast("string")), "points": F.lit(None).cast("double")}),
+    ]
+    for number, rows in enumerate(batches, 1):
+        path = locate(new_path(spark, "raw-customers"), "customers.json")
+        rows.write.option("ignoreNullFields", False).json(path)
+        ingest_entity(spark, "customers", path, bronze, f"b-{number}", ingested_at=BATCH_TIMES[number])
+    process_entity(spark, "customers", bronze, silver, null_limit=50.0, processed_at=_at(1))
+    return read_silver(spark, silver, "customers").drop("_silver_processed_at")
+
+
 def _merged_batches(spark, folder, rules):
     base = new_path(spark, "history")
     for number in BATCH_TIMES:
