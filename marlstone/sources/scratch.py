@@ -68,11 +68,13 @@ def folders(spark: SparkSession, path: str) -> list[str]:
 
 
 def fingerprint(spark: SparkSession, path: str) -> str:
-    """Number, bytes and latest change of the files under a path; another one tells that it was written anew."""
+    """Number, bytes and latest change of the data files under a path; another one tells that it was written anew."""
     files, target = _hadoop(spark, path)
     found, n, size, latest = files.listFiles(target, True), 0, 0, 0
     while found.hasNext():
         status = found.next()
+        if status.getPath().getName().startswith(("_", ".")):
+            continue
         n, size, latest = n + 1, size + status.getLen(), max(latest, status.getModificationTime())
     return f"{n}-{size}-{latest}"
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from marlstone.entities import ENTITIES
 from marlstone.operators.history import CUSTOMER_SNAPSHOT, SILVER_CUSTOMERS
 from marlstone.operators.staging import stage_orders
+from marlstone.operators.suites import SUITES
 from marlstone.plans.bronze_job import QUARANTINE, ingest_entity, ingest_frame
 from marlstone.plans.documents_job import flatten_documents, report_documents
 from marlstone.plans.gold_job import AGGREGATES, build_aggregate
@@ -387,6 +388,77 @@ def warehouse_job_customers(spark, folder):
     return _warehouse(spark, folder)["dim_customers"]
 
 
+def _nested(body: str, **parts: str) -> str:
+    return f"WITH {', '.join(f'{name} AS ({sql})' for name, sql in parts.items())} {body}"
+
+
+_STAGED_MODELS = {**_STAGED_INPUTS, "e_customers": mart_queries.STAGED_CUSTOMERS_SQL}
+_MODEL_SQL = {
+    "stg_customers": "SELECT * FROM e_customers",
+    "stg_products": "SELECT * FROM e_products",
+    "stg_orders": "SELECT * FROM e_orders",
+    "stg_order_items": "SELECT * FROM e_order_items",
+    # The staged timestamp is text already.
+    "int_order_enriched": mart_queries.ENRICHED_SQL.replace("strftime(order_timestamp, '%Y-%m-%d %H:%M:%S')", "order_timestamp"),
+    "int_customer_360": _nested(
+        mart_queries.PROFILE_SQL,
+        stats=mart_queries.ORDER_STATS_SQL,
+        units=mart_queries.UNITS_SQL,
+        preferred=mart_queries.PREFERRED_SQL,
+    ),
+    "fct_daily_revenue": _nested(mart_queries.FCT_DAILY_SQL, **mart_queries.FCT_DAILY_PARTS),
+    "fct_conversion_funnel": _nested(mart_queries.FCT_FUNNEL_SQL, **mart_queries.FCT_FUNNEL_PARTS),
+    "dim_customers": f"""SELECT md5(customer_id || '-{BATCH_TIMES[1]}') AS customer_key, *, true AS is_current,
+        '{BATCH_TIMES[1]}' AS effective_from, '{BATCH_TIMES[1]}' AS last_updated_at FROM e_customers""",
+    "dim_products": mart_queries.DIM_PRODUCTS_SQL,
+}
+
+
+def _check_sql(model: str) -> list[str]:
+    """One SELECT for each declared check of a model."""
+    suite = SUITES[model]
+    counts = [("not_null", c, f"count(*) FILTER (WHERE {c} IS NULL)") for c in suite.not_null]
+    counts += [
+        ("accepted_values", c, f"count(*) FILTER (WHERE {c} NOT IN {values})") for c, values in suite.accepted_values.items()
+    ]
+    out = [f"SELECT '{model}' AS model, '{kind}' AS check_name, '{c}' AS column_name, {n} AS failures FROM {model}" for kind, c, n in counts]
+    for kind, columns in [("unique", (c,)) for c in suite.unique] + [("unique_combination", cs) for cs in suite.unique_combinations]:
+        names, present = ", ".join(columns), "true" if len(columns) > 1 else f"{columns[0]} IS NOT NULL"
+        twice = f"SELECT {names} FROM {model} WHERE {present} GROUP BY {names} HAVING count(*) > 1"
+        out.append(f"SELECT '{model}', '{kind}', '{','.join(columns)}', count(*) FROM ({twice})")
+    for c, (parent, key) in suite.references.items():
+        out.append(
+            f"SELECT '{model}', 'relationships', '{c}', count(*) FROM {model} AS m WHERE {c} IS NOT NULL "
+            f"AND NOT EXISTS (SELECT 1 FROM {parent} AS p WHERE p.{key} = m.{c})"
+        )
+    return out
+
+
+_OWN_CHECKS_SQL = [
+    """SELECT 'dim_customers', 'one_current', 'customer_id', count(*) FROM (SELECT customer_id FROM dim_customers
+        GROUP BY customer_id HAVING count(*) FILTER (WHERE is_current) <> 1)""",
+    "SELECT 'stg_orders', 'total_positive', 'total', count(*) FROM stg_orders WHERE total <= 0",
+    """SELECT 'fct_daily_revenue', 'share_is_100', 'revenue_share_pct', count(*) FROM (SELECT order_date FROM fct_daily_revenue
+        GROUP BY order_date HAVING abs(sum(CAST(revenue_share_pct AS DECIMAL(9, 2))) - 100) > 1)""",
+]
+
+
+@query(
+    "warehouse_job_checks",
+    with_inputs(
+        " UNION ALL ".join([sql for model in _MODEL_SQL for sql in _check_sql(model)] + _OWN_CHECKS_SQL),
+        "raw_customers",
+        "source_orders",
+        "raw_order_items",
+        "raw_products",
+        **_STAGED_MODELS,
+        **_MODEL_SQL,
+    ),
+)
+def warehouse_job_checks(spark, folder):
+    return check_warehouse(_warehouse(spark, folder), new_path(spark, "warehouse"), "run-1")
+
+
 def _documents(spark, folder):
     """The document pipeline run from JSON files to its reports."""
     source, silver, gold = (new_path(spark, label) for label in ("docs", "docs-silver", "docs-gold"))
