@@ -17,22 +17,26 @@ _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
 class PieceEncoder:
-    """Ids of texts as little-endian bytes; remembers about ``limit`` pieces and then starts anew.
+    """Ids of texts as little-endian bytes; remembers between ``limit`` and twice as many pieces.
+
+    When ``limit`` new ones are known, they become the older ones; those of them that come again are taken over, and
+    the rest is forgotten at the next turn.
 
     A piece is known by a key: itself where it follows a space, a line break and itself where it follows that.  Texts
     are read as if a line break stood in front, whose id is taken off again.
     """
 
-    def __init__(self, encode_many: EncodeMany, limit: int = 1_000_000):
+    def __init__(self, encode_many: EncodeMany, limit: int = 500_000):
         self._encode_many = encode_many
         self._limit = limit
         self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
         self._newline = next(iter(encode_many(["\n"])))
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
+        if len(self._known) > self._limit:
+            self._known, self._older = {}, self._known
         known, out, plans = self._known, [], []
-        if len(known) > self._limit:
-            known.clear()
         for text in texts:
             keys = f"\n{text}".replace("\n", " \n").split(" ")[1:] if text else []
             plans.append((keys, [*map(known.get, keys)]))
@@ -49,7 +53,10 @@ class PieceEncoder:
 
     def _learn(self, new: set[str], safe: bool = False) -> set[str]:
         """Encode pieces by key; those that are empty or have white space at an end are returned instead."""
-        unsafe, known = set(), self._known
+        unsafe, known, older = set(), self._known, self._older
+        again = {k: older[k] for k in new if k in older}
+        known.update(again)
+        new = new - again.keys()
         for first in (True, False):
             pieces = [k[1:] if first else k for k in new if (k[:1] == "\n") == first]
             if not safe:

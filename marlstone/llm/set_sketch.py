@@ -245,18 +245,16 @@ def sketch_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         rest = _mixed(rest, labels)
         if rest.isEmpty():
             break
-        rest = rest.join(nodes.select("id", "size", "parities"), "id")
         n_pivots, done = PIVOTS[min(done, len(PIVOTS) - 1)], done + 1
         hubs_first = Window.partitionBy("bucket").orderBy(F.col("degree").desc(), "id")
-        pivots = rest.withColumn("rank", F.row_number().over(hubs_first)).filter(F.col("rank") <= n_pivots)
-        pivots = written(pivots.drop("rank"), "pivots")
-        others = rest.join(pivots.select("bucket", "id"), ["bucket", "id"], "left_anti")
-        others = written(others.select("bucket", "id", "degree"), "others")
-        ends = pivots.select("bucket", *(F.col(c).alias(f"a_{c}") for c in pivots.columns if c != "bucket"))
-        before = (F.col("a_degree") > F.col("degree")) | (F.col("a_degree") == F.col("degree")) & (F.col("a_id") < F.col("id"))
-        found = ends.join(rest, "bucket").filter(before & (F.col("a_comp") != F.col("comp")) & _may_link(percent))
+        ranked = rest.withColumn("rank", F.row_number().over(hubs_first)).join(nodes.select("id", "size", "parities"), "id")
+        ranked = written(ranked, "ranked")
+        ends = ranked.filter(F.col("rank") <= n_pivots)
+        ends = ends.select("bucket", *(F.col(c).alias(f"a_{c}") for c in ranked.columns if c != "bucket"))
+        apart = (F.col("a_rank") < F.col("rank")) & (F.col("a_comp") != F.col("comp"))
+        found = ends.join(ranked, "bucket").filter(apart & _may_link(percent))
         pairs = found.select(F.col("a_id").alias("a"), F.col("id").alias("b")).distinct()
-        rest = others
+        rest = ranked.filter(F.col("rank") > n_pivots).select("bucket", "id", "degree")
     known = sets.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     named = known.join(nodes.select("node", "id"), "node").join(labels.withColumnRenamed("node", "id"), "id", "left")
     named = written(named.select("node", F.coalesce("comp", "id").alias("comp"), "least"), "named")

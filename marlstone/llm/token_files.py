@@ -19,6 +19,7 @@ repeated or lost attempt leaves files that nothing refers to.
 
 from __future__ import annotations
 
+import json
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -50,15 +51,40 @@ def library_encoder(path: str, dtype: str) -> PieceEncoder:
         tokenizer.no_truncation()
         tokenizer.no_padding()
         code = {"uint16": "H", "uint32": "I"}[dtype]
+        model, letters = tokenizer.model, _byte_letters()
+        whole_words = _keeps_words_whole(path)
 
         def encode_many(texts):
-            found = tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
-            return (array(code, e.ids).tobytes() for e in found)
+            texts = list(texts)
+            words = [whole_words and (w := t.removeprefix(" ")).isalpha() and max(w) < "\u0250" for t in texts]
+            others = [t for t, is_word in zip(texts, words, strict=True) if not is_word]
+            found = iter(tokenizer.encode_batch_fast(others, add_special_tokens=False) if others else ())
+            for text, is_word in zip(texts, words, strict=True):
+                # A Latin word is one piece for the model; giving it directly spares the rest of the library's way.
+                ids = [t.id for t in model.tokenize(text.encode().decode("latin-1").translate(letters))] if is_word else next(found).ids
+                yield array(code, ids).tobytes()
 
         _ENCODERS[path, dtype] = PieceEncoder(encode_many)
     return _ENCODERS[path, dtype]
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable bytes stand for themselves."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+def _keeps_words_whole(path: str) -> bool:
+    """Does the tokenizer hand letters with a space in front to its model in one piece, unchanged?"""
+    with open(path, encoding="utf-8") as file:
+        made = json.load(file)
+    split = made.get("pre_tokenizer") or {}
+    plain = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+    added = any(t["content"].strip().isalpha() for t in made.get("added_tokens", ()))
+    return bool(plain and not made.get("normalizer") and not added)
+
+
 class ShardWriter:
     """Appends documents to one shard; holds at most one batch of sequences."""
 
@@ -162,8 +188,8 @@ def write_shards(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, writer, first = library_encoder(tokenizer, dtype), None, None
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 32):
+                part = batch.slice(at, 32)
                 doc_ids = part.column(0).to_pylist()
                 if writer is None:
                     writer = ShardWriter(folder, length, rows, dtype, end_id)
