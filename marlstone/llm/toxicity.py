@@ -337,20 +337,21 @@ def train(
 def _cut(scores: np.ndarray, labels: np.ndarray, toxic_share: float) -> float:
     """The score at which both labels are equally likely, by a logistic curve through the scores.
 
-    A label's documents together weigh as much as its share.  A weak pull of the slope to 1 keeps the curve apart from
-    a step where the scores divide the labels.
+    A label's documents together weigh as much as its share.  A weak pull to 0 keeps the curve apart from a step where
+    the scores divide the labels.
     """
     weight = np.where(labels == 1, toxic_share / max(1, (labels == 1).sum()), (1 - toxic_share) / max(1, (labels == 0).sum()))
     weight = weight * len(labels)
-    x = np.stack([scores, np.ones(len(scores))], 1)
-    at = np.array([1.0, 0.0])
-    for _ in range(50):
+    middle, spread = scores.mean(), max(scores.std(), 1e-6)
+    x = np.stack([(scores - middle) / spread, np.ones(len(scores))], 1)
+    at = np.zeros(2)
+    for _ in range(200):
         p = sigmoid(x @ at)
-        gradient = x.T @ (weight * (p - labels)) + np.array([at[0] - 1, 0.0])
-        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag([1.0, 1e-6])
+        gradient = x.T @ (weight * (p - labels)) + 0.01 * at
+        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + 0.01 * np.eye(2)
         step = np.linalg.solve(curve, gradient)
-        at = at - np.clip(step, -1, 1)
-    return float(-at[1] / max(at[0], 0.1))
+        at = at - step / max(1.0, np.abs(step).max())
+    return float(middle - spread * at[1] / max(at[0], 0.1))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

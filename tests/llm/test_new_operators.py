@@ -180,3 +180,13 @@ def test_manifest_of_nothing_and_of_one_row(spark):
     assert [(r.root, r.subroot, r.folded_root) for r in alone] == [(alone[0].leaf,) * 3]
     assert alone[0].proof_sha256 == hashlib.sha256(b"").hexdigest() and alone[0].verified
     assert merkle.prove(merkle.manifest(docs.limit(0), ["doc_id"], group="lang", key="doc_id")).count() == 0
+
+
+def test_cut_lies_between_the_labels():
+    from marlstone.llm.toxicity import _cut
+
+    rng = np.random.default_rng(2)
+    for low, high in ((-8.0, 11.0), (5.0, 12.0), (-300.0, -250.0)):
+        scores = np.concatenate([rng.normal(low, 1, 200), rng.normal(high, 1, 200)])
+        cut = _cut(scores, np.repeat([0, 1], 200), 0.1)
+        assert low + 2 < cut < high - 1
