@@ -64,7 +64,7 @@ class PieceEncoder:
                 pieces = [p for p in pieces if p and p.strip() == p]
             mark, prefix, start = ("\n", "", self._newline) if first else ("", " ", b"")
             # A Latin word and the punctuation behind it are encoded apart.
-            cores = {p: core for p in pieces if (core := p.rstrip(".,;:!?")) != p and core.isalpha() and max(core) < "\u0250"}
+            cores = {p: core for p in pieces if p[-1] in ".,;:!?" and (core := p.rstrip(".,;:!?")).isalpha() and max(core) < "\u0250"}
             alone = [p for p in {cores.get(p, p) for p in pieces} if mark + p not in known]
             made = self._encode_many([prefix + p for p in alone])
             known.update((mark + p, start + ids) for p, ids in zip(alone, made, strict=True))

@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import json
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,19 +49,31 @@ def library_encoder(path: str, dtype: str) -> PieceEncoder:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        code = {"uint16": "H", "uint32": "I"}[dtype]
+        table = np.arange(tokenizer.get_vocab_size(), dtype=dtype)
+        as_bytes = [i.tobytes() for i in table]  # ids of the vocabulary as they are written
         model, letters = tokenizer.model, _byte_letters()
+        space = letters[ord(" ")]
         whole_words = _keeps_words_whole(path)
 
+        def by_model(word: str) -> bytes:
+            """A Latin word, which is one piece for the model; giving it directly spares the rest of the library's way."""
+            if word.isascii():
+                word = word.replace(" ", space)
+            else:
+                word = word.encode().decode("latin-1").translate(letters)
+            found = model.tokenize(word)
+            return as_bytes[found[0].id] if len(found) == 1 else b"".join([as_bytes[t.id] for t in found])
+
         def encode_many(texts):
-            texts = list(texts)
-            words = [whole_words and (w := t.removeprefix(" ")).isalpha() and max(w) < "\u0250" for t in texts]
-            others = [t for t, is_word in zip(texts, words, strict=True) if not is_word]
-            found = iter(tokenizer.encode_batch_fast(others, add_special_tokens=False) if others else ())
-            for text, is_word in zip(texts, words, strict=True):
-                # A Latin word is one piece for the model; giving it directly spares the rest of the library's way.
-                ids = [t.id for t in model.tokenize(text.encode().decode("latin-1").translate(letters))] if is_word else next(found).ids
-                yield array(code, ids).tobytes()
+            made = [
+                by_model(t) if whole_words and (w := t[1:] if t[:1] == " " else t).isalpha() and (w.isascii() or max(w) < "\u0250") else None
+                for t in texts
+            ]
+            if None in made:
+                others = [t for t, ids in zip(texts, made, strict=True) if ids is None]
+                found = iter(tokenizer.encode_batch_fast(others, add_special_tokens=False))
+                made = [b"".join([as_bytes[i] for i in next(found).ids]) if ids is None else ids for ids in made]
+            return made
 
         _ENCODERS[path, dtype] = PieceEncoder(encode_many)
     return _ENCODERS[path, dtype]
