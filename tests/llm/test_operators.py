@@ -149,6 +149,12 @@ def test_secrets_against_patterns(spark):
         assert found[i].n_hex == spans.count("hex:")
 
 
+def test_a_weak_secret_may_begin_with_many_letters(spark):
+    long = "k" * 50 + "7x"
+    docs = documents(spark, [f"ASIAABCDEFGHIJKLMNOP {long}", f"ASIAABCDEFGHIJKLMNOP {'k' * 60}", f"ASIAABCDEFGHIJKLMNOP {'k' * 100_000}7"])
+    assert [r.spans for r in scan(docs).orderBy("doc_id").collect()] == ["weak_id:0:20,weak_secret:21:73", "", "weak_id:0:20,weak_secret:21:100022"]
+
+
 def test_weak_secrets_need_their_complements(spark):
     secret = "wJalrXUtnFEMIK7MDENGbPxRfiCYzz9EXAMPLEKEY"
     texts = [f"ASIAABCDEFGHIJKLMNOP and {secret}", "ASIAABCDEFGHIJKLMNOP alone", f"{secret} alone", f"ASIAABCDEFGHIJKLMNOP {'far ' * 200}{secret}", f"https://api.example.com ASIAABCDEFGHIJKLMNOP {secret}"]
@@ -309,9 +315,11 @@ def test_groups_of_empty_table(spark):
     assert groups(documents(spark, []).limit(0)).count() == 0
 
 
-def leaks_by_force(doc, item, window=13, substitutions=2):
+def leaks_by_force(doc, item, least=5):
     a, b = (re.findall(r"[^\W_]+", (t or "").lower()) for t in (doc, item))
-    return any(
+    window = min(13, len(b))
+    substitutions = 2 * window // 13
+    return len(b) >= least and any(
         sum(x == y for x, y in zip(a[i : i + window], b[j : j + window], strict=False)) >= window - substitutions
         for i in range(len(a) - window + 1)
         for j in range(len(b) - window + 1)
@@ -321,13 +329,13 @@ def leaks_by_force(doc, item, window=13, substitutions=2):
 def test_leaks_against_brute_force(spark):
     rng = random.Random(9)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
-    items = [" ".join(word() for _ in range(rng.randint(10, 30))) for _ in range(12)] + [None, ""]
+    items = [" ".join(word() for _ in range(n)) for n in (4, 5, 6, 7, 8, 11, 12, 13, 14, 17, 23, 30)] + [None, ""]
     texts = []
-    for _ in range(80):
+    for _ in range(160):
         words = rng.choice(items[:12]).split()
-        for _ in range(rng.randint(0, 6)):
+        for _ in range(rng.randint(0, 1 + len(words) // 5)):
             words[rng.randrange(len(words))] = word()
-        first = rng.randint(0, 8)
+        first = rng.choice([0, 0, rng.randint(0, 8)])
         texts.append(" ".join([*(word() for _ in range(rng.randint(0, 20))), *words[first:], *(word() for _ in range(5))]) + ".")
     texts += [None, "", "short text"]
     benchmark = spark.createDataFrame([(i, t, 1) for i, t in enumerate(items)], "item_id long, text string, seed long")
@@ -342,10 +350,29 @@ def test_leaks_of_short_and_unspaced_items(spark):
     texts = ["so: what is, THE capital! And what is the capital", "what was the capital", "前文。日本の首都はどこですか。", "あのこれは十三文字より永い問題の文章ですよ", "ดูบ้านนี้สิ", "is", None]
     benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
     docs = documents(spark, [*texts, texts[2]], [*range(7), 2])
-    found = sorted((r.doc_id, r.item_id, r.matched, r.doc_word) for r in leaks(docs, benchmark).collect())
+    found = sorted((r.doc_id, r.item_id, r.matched, r.doc_word) for r in leaks(docs, benchmark, least=1).collect())
     assert [f[:2] for f in found] == [(0, 0), (0, 4), (2, 1), (2, 1), (3, 2), (4, 3)]
     assert found[0][2:] == (4, 6) and found[2][2:] == (11, 2)
-    assert sorted(r.doc_id for r in clean(docs, benchmark).collect()) == [1, 5, 6]
+    assert sorted(r.doc_id for r in clean(docs, benchmark, least=1).collect()) == [1, 5, 6]
+    # By default a few common words are no passage.
+    assert sorted(r.doc_id for r in clean(docs, benchmark).collect()) == [0, 1, 4, 5, 6]
+
+
+def test_one_substitution_costs_no_item_of_seven_words_or_more(spark):
+    items = {n: [f"w{n}x{i}" for i in range(n)] for n in range(5, 15)}
+    changed = [(n, " ".join(["before", *item[:i], "other", *item[i + 1 :], "after"])) for n, item in items.items() for i in range(n)]
+    benchmark = spark.createDataFrame([*((n, " ".join(item)) for n, item in items.items()), (2, "Yes")], "item_id long, text string")
+    found = leaks(documents(spark, [*(text for _, text in changed), "yes"]), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(d, n) for d, (n, _) in enumerate(changed) if n >= 7} and len(found) == sum(range(7, 15))
+
+
+def test_leaks_of_empty_tables_and_long_texts(spark):
+    item = " ".join(f"w{i}" for i in range(20))
+    benchmark, docs = spark.createDataFrame([(1, item)], "item_id long, text string"), documents(spark, [item, None])
+    assert leaks(docs.limit(0), benchmark).count() == 0 and leaks(docs, benchmark.limit(0)).count() == 0
+    assert clean(docs, benchmark.limit(0)).count() == 2 and clean(docs.limit(0), benchmark).count() == 0
+    long = documents(spark, ["word " * 200_000 + item, "word " * 200_000])
+    assert [(r.doc_id, r.matched, r.doc_word) for r in leaks(long, benchmark).collect()] == [(0, 13, 200_000)]
 
 
 def test_clean_keeps_rows_that_share_an_id_with_a_leak(spark):
