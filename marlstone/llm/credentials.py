@@ -27,7 +27,7 @@ BASE = [
 #: Weak kinds: other key identifiers, long mixed strings, and addresses.
 WEAK = [
     ("weak_id", r"((?<![A-Za-z0-9])(?:(?:ASIA|AIDA|AROA|AGPA)[A-Z0-9]{12,}|(?i:(?:client|account|user)_?id)\x20?[:=]\x20?[A-Za-z0-9_.-]{4,}))", 1, 8),
-    ("weak_secret", r"((?<![A-Za-z0-9+/])(?=[A-Za-z+/]{0,39}[0-9])[A-Za-z0-9+/]{32,}={0,2})", 1, 32),
+    ("weak_secret", r"((?<![A-Za-z0-9+/])(?=[A-Za-z+/]*+[0-9])[A-Za-z0-9+/]{32,}={0,2})", 1, 32),
     ("endpoint", r"""(https?://[^\s"'<>]{4,}|(?<![A-Za-z0-9])(?i:endpoint|host)\x20?[:=]\x20?[A-Za-z0-9.:/_-]{4,})""", 1, 8),
 ]
 ROLES = {"access": "id", "weak_id": "id", "assign": "secret", "hex": "secret", "weak_secret": "secret", "endpoint": "endpoint"}
