@@ -5,6 +5,10 @@ a combination that implies a verdict with enough support and confidence becomes
 a rule, unless a part of it implies the same verdict as surely.  Rules match by
 an inverted index: each is posted under its rarest token, so a URL meets a rule
 only through that token, and the rest of the rule is then checked.
+
+Tokens that stand in the same labelled URLs say the same, and any of them would
+do in a rule.  They are mined and matched as one, so a URL that fills half of the
+table with its many tokens does not give a rule for each combination of them.
 """
 
 from __future__ import annotations
@@ -52,6 +56,20 @@ def tokens() -> Column:
     return F.array_sort(F.array_distinct(found))
 
 
+def names(labelled: DataFrame, min_support: float) -> DataFrame:
+    """token and name for the tokens (row, items) frequent enough for a rule: those of the same rows share a name.
+
+    Rows are compared by their number and 128 bits of their hashes.  A row's tokens by the support bound the result.
+    """
+    total = labelled.agg(F.count("*").alias("total"))
+    same = ["n", "low", "high"]
+    each = labelled.select("row", F.explode("items").alias("token"))
+    rows = [F.count("*").alias("n"), F.bit_xor(F.xxhash64("row")).alias("low"), F.bit_xor(F.xxhash64("row", F.lit(1))).alias("high")]
+    tokens = each.groupBy("token").agg(*rows).join(F.broadcast(total), F.col("n") >= F.ceil(F.col("total") * min_support))
+    tokens = written(tokens.select("token", *same), "url-tokens")
+    return tokens.join(tokens.groupBy(*same).agg(F.min("token").alias("name")), same).select("token", "name")
+
+
 def mine(labelled: DataFrame, min_support: float, min_confidence: float) -> DataFrame:
     """Rules from labelled URLs (items, verdict): tokens, verdict, confidence, support, rarest token."""
     baskets = labelled.select(F.array_append("items", F.concat(F.lit("label="), F.col("verdict"))).alias("items"))
@@ -117,16 +135,20 @@ def judge(
     open_rows = judged.filter(F.col("verdict").isNull()).select("row", "items")
     mined = None
     if not labelled.isEmpty():
-        index = written(mine(labelled, min_support, min_confidence), "url-rules")
+        known = broadcast_if_small(written(names(labelled, min_support), "url-names"))
+        each = labelled.select("row", "verdict", F.explode("items").alias("token")).join(known, "token", "left")
+        baskets = each.groupBy("row", "verdict").agg(F.collect_set("name").alias("items"))
+        index = written(mine(baskets, min_support, min_confidence), "url-rules")
         best = F.max(
             F.struct("confidence", "support", F.size("antecedent").alias("n"), F.col("says").alias("says"))
         ).alias("best")
         # URLs with the same tokens share a verdict, so each set of tokens is matched once.
-        sets = open_rows.select("items").distinct()
+        sets = open_rows.select("items").distinct().withColumn("token", F.explode("items")).join(known, "token")
+        sets = sets.groupBy("items").agg(F.collect_set("name").alias("names"))
         mined = (
-            sets.withColumn("token", F.explode("items"))
-            .join(broadcast_if_small(index), F.col("token") == F.col("rarest"))
-            .filter(F.size(F.array_except("antecedent", "items")) == 0)
+            sets.withColumn("name", F.explode("names"))
+            .join(broadcast_if_small(index), F.col("name") == F.col("rarest"))
+            .filter(F.size(F.array_except("antecedent", "names")) == 0)
             .groupBy("items")
             .agg(best)
             .select("items", F.replace(F.col("best.says"), F.lit("label="), F.lit("")).alias("mined"))

@@ -149,6 +149,16 @@ def test_secrets_against_patterns(spark):
         assert found[i].n_hex == spans.count("hex:")
 
 
+def test_a_frequent_url_of_many_tokens_is_mined_as_one(spark):
+    many = "/".join(f"part{c}" for c in "abcdefghijklmnopqrst")
+    urls = [f"http://a.net/{many}"] * 30 + [f"http://b.org/fr/story{c}" for c in "abcdefghij" * 3]
+    urls += ["http://c.com/partg", "http://c.com/fr", "http://c.com/new", "http://c.com/fr/partg"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(3)
+    found = {r.page_id: (r.verdict, r.source) for r in judge(pages).collect()}
+    # Of two rules as sure and as frequent, the verdict later in the alphabet.
+    assert [found[i] for i in range(60, 64)] == [("block", "mined"), ("allow", "mined"), ("allow", "default"), ("block", "mined")]
+
+
 def test_a_weak_secret_may_begin_with_many_letters(spark):
     long = "k" * 50 + "7x"
     docs = documents(spark, [f"ASIAABCDEFGHIJKLMNOP {long}", f"ASIAABCDEFGHIJKLMNOP {'k' * 60}", f"ASIAABCDEFGHIJKLMNOP {'k' * 100_000}7"])
