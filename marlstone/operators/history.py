@@ -30,6 +30,7 @@ class HistoryRules:
     first_valid_from: str | None  # column that dates the first version of a key, if any
     closes_absent: bool  # does a key missing from the batch lose its current version?
     updated_at: str | None = None  # records the run that opened a version
+    any_order: bool = False  # may batches come late? (``operators.splicing``)
 
     def validity_types(self) -> dict[str, str]:
         types = {self.valid_from: "timestamp", self.valid_to: "timestamp"}
@@ -82,7 +83,7 @@ def merge_batch(current: DataFrame, incoming: DataFrame, rules: HistoryRules, at
     columns that only one side has are NULL in rows from the other.
     """
     now = moment(at)
-    columns = _all_columns(current, incoming, rules)
+    columns = union_columns(current, incoming, rules)
     stored = current.select(rules.key, _as_struct(current, columns, "stored"))
     arrived = incoming.select(rules.key, _as_struct(incoming, columns, "arrived"))
     paired = stored.join(arrived, rules.key, "full_outer")
@@ -152,7 +153,7 @@ def _closed(rules: HistoryRules, now: Column) -> dict[str, Column]:
     return validity
 
 
-def _all_columns(current: DataFrame, incoming: DataFrame, rules: HistoryRules) -> dict[str, str]:
+def union_columns(current: DataFrame, incoming: DataFrame, rules: HistoryRules) -> dict[str, str]:
     """Names and types of the union of both sides; where they differ, the least common type (``sources.evolution``)."""
     both = {f.name: f.dataType.simpleString() for f in common_schema([current.schema, incoming.schema]).fields}
     kinds = {**dict(incoming.dtypes), **rules.validity_types(), **dict(current.dtypes)}

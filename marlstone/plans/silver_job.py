@@ -14,11 +14,12 @@ from marlstone.operators.dedup import latest_per_key
 from marlstone.operators.history import SILVER_CUSTOMERS, HistoryRules, first_load, merge_batch
 from marlstone.operators.quality import enforce_null_limits
 from marlstone.operators.silver import silver_rows, stamp_silver
+from marlstone.operators.splicing import OBSERVED, observed_load, splice_batch
 from marlstone.plans.outcomes import Outcome, run_each
 from marlstone.sources.evolution import disputed
 from marlstone.sources.readers import locate, read_parquet, within_months
 from marlstone.sources.scratch import scratch_table
-from marlstone.sources.versions import Commit, last_commit, read_versions, state, write_version
+from marlstone.sources.versions import Commit, last_commit, place, read_versions, state, write_version
 from marlstone.sources.writers import read_batches, write_table
 
 
@@ -38,6 +39,7 @@ def process_entity(
     null_limit: float | None = None,
     processed_at: datetime | None = None,
     run_id: str | None = None,
+    rules: HistoryRules = SILVER_CUSTOMERS,
 ) -> int:
     """Deduplicate, check, repair and store one entity; returns the rows stored.
 
@@ -54,7 +56,7 @@ def process_entity(
         enforce_null_limits(latest, entity.null_limits, name, null_limit)
         rows = silver_rows(name, latest)
         if name == "customers":
-            merge_into(rows, target, SILVER_CUSTOMERS, run, at)
+            merge_into(rows, target, rules, run, at)
             stored = read_silver(spark, silver_base, name)
         else:
             stored = write_table(stamp_silver(rows, at), target, entity.partition_by)
@@ -65,10 +67,14 @@ def merge_into(incoming: DataFrame, base: str, rules: HistoryRules, batch_id: st
     """Merge a batch into a stored history; a batch already merged changes nothing."""
     spark = incoming.sparkSession
     found = state(spark, base, batch_id)
+    if found.last is not None and found.seen:
+        return found.last
+    if rules.any_order:
+        return _splice_into(incoming, base, rules, batch_id, at, found.last)
     if found.last is None:
         rows = first_load(incoming, rules, at)
-    elif found.seen:
-        return found.last
+    elif f"`{OBSERVED}`" in found.last.columns:
+        raise ValueError(f"the history {base} takes batches in any order; merge with rules that do")
     else:
         current = read_versions(spark, base, found.last, "current")
         if not rules.current_flag:
@@ -78,6 +84,28 @@ def merge_into(incoming: DataFrame, base: str, rules: HistoryRules, batch_id: st
     return write_version(rows, base, found.last.version + 1 if found.last else 1, batch_id, at)
 
 
+def _splice_into(incoming: DataFrame, base: str, rules: HistoryRules, batch_id: str, at, last: Commit | None) -> Commit:
+    """Merge a batch of any time.
+
+    The newest one reads current versions only and adds to what is stored; a late one rewrites the history as a new version.
+    """
+    spark = incoming.sparkSession
+    if last is None:
+        rows = observed_load(incoming, rules, at).withColumn("is_current", rules.is_current())
+        return write_version(rows, base, 1, batch_id, at)
+    if f"`{OBSERVED}`" not in last.columns:
+        raise ValueError(f"the history {base} was begun without observations and takes no late batches")
+    stands = place(spark, base, at)
+    stored = read_versions(spark, base, last, "all" if stands.late else "current")
+    if not rules.current_flag:
+        stored = stored.drop("is_current")
+    rows = splice_batch(stored, _without_empty_text(incoming, stored), rules, at, stands.next_batch)
+    rows = rows.withColumn("is_current", rules.is_current())
+    since = last.version + 1 if stands.late else last.since
+    # Readers date the state of a history by its newest batch, whichever came last.
+    return write_version(rows, base, last.version + 1, batch_id, stands.latest, since, at)
+
+
 def _without_empty_text(incoming: DataFrame, current: DataFrame) -> DataFrame:
     """``incoming`` with the stored type for text columns that are stored as another type and have no value here."""
     kinds = {f.name: f.dataType for f in current.schema.fields}
@@ -91,7 +119,7 @@ def _without_empty_text(incoming: DataFrame, current: DataFrame) -> DataFrame:
 
 def read_history(spark: SparkSession, base: str, rules: HistoryRules) -> DataFrame:
     """All versions of a stored history."""
-    rows = read_versions(spark, base, last_commit(spark, base))
+    rows = read_versions(spark, base, last_commit(spark, base)).drop(OBSERVED)
     return rows if rules.current_flag else rows.drop("is_current")
 
 
@@ -107,7 +135,7 @@ def read_silver(
     if name == "customers":
         last = last_commit(spark, path)
         # A run restates the whole dimension, so all rows carry its time.
-        return read_versions(spark, path, last).withColumn(
+        return read_versions(spark, path, last).drop(OBSERVED).withColumn(
             "_silver_processed_at", moment(last.committed_at)
         )
     return within_months(read_parquet(spark, path, merge_schema=merge_schema), months)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
@@ -231,6 +232,23 @@ def history_job_snapshot(spark, folder):
     return _merged_batches(spark, folder, CUSTOMER_SNAPSHOT)
 
 
+def _late_batches(spark, folder, rules, order):
+    base = new_path(spark, "history")
+    for number in order:
+        merge_into(batch(spark, folder, number), base, replace(rules, any_order=True), f"b-{number}", _at(number))
+    return read_history(spark, base, rules)
+
+
+@query("history_job_late_batches", silver_queries.SILVER_HISTORY_SQL)
+def history_job_late_batches(spark, folder):
+    return _late_batches(spark, folder, SILVER_CUSTOMERS, (3, 1, 2))
+
+
+@query("history_job_late_snapshots", silver_queries.SNAPSHOT_SQL)
+def history_job_late_snapshots(spark, folder):
+    return _late_batches(spark, folder, CUSTOMER_SNAPSHOT, (2, 3, 1))
+
+
 def _gold(spark, folder, name: str, *entities: str):
     """A gold aggregate from stored silver tables, read back from its CSV export."""
     silver, gold, csv = (new_path(spark, label) for label in ("silver", "gold", "csv"))
