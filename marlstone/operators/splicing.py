@@ -67,14 +67,16 @@ def splice_batch(
         F.filter("earlier", lambda v: _opened_at(v) < F.col("last")),
         F.filter("later", lambda v: _opened_at(v) > F.col("next")),
     )
-    return placed.select(F.inline(F.concat(untouched, splice.pieces())))
+    spliced = placed.select(F.inline(F.concat(untouched, splice.pieces())))
+    own = [c for c in columns if c not in rules.validity_types()]
+    return spliced.select(*[F.col(f"record.`{c}`" if c in own else f"`{c}`").alias(c) for c in columns], OBSERVED)
 
 
 class _Splice:
     """The versions that take the place of the one before a batch and the one after it."""
 
     def __init__(self, columns: dict[str, str], rules: HistoryRules, next_batch):
-        self.columns, self.rules = columns, rules
+        self.columns, self.rules, self.validity = columns, rules, rules.validity_types()
         self.next = moment(next_batch) if next_batch is not None else F.lit(None).cast("timestamp")
 
     def measured(self, placed: DataFrame) -> DataFrame:
@@ -103,7 +105,7 @@ class _Splice:
         shown_again = F.get("right", F.lit(0))
         start = self._first_start(lambda c: self._shown(c, shown_again), shown_again[SEEN_AT])
         right = {
-            **{c: shown_again[c] for c in _loose(self.columns, self.rules)},
+            "record": F.struct(*[self._shown(c, shown_again).alias(c) for c in self.columns if c not in self.validity]),
             **self._start(F.when(F.col("arrived").isNull(), start).otherwise(shown_again[SEEN_AT]), shown_again[SEEN_AT]),
         }
         right = self._made("before", right, F.col("right"))
@@ -111,7 +113,7 @@ class _Splice:
         confirmed = self._made("before", {}, seen)
 
         # A version that opens now: inside another one it starts at the batch, else as a first one.
-        own_start = self._first_start(lambda c: F.col(f"arrived.{c}"), now)
+        own_start = self._first_start(lambda c: F.col(f"arrived.record.{c}"), now)
         opens = self._start(F.when(F.col("inside"), now).otherwise(own_start), now)
         joined = {**opens, **self._validity_end("after")}
         joined = self._made("arrived", joined, F.concat(F.col(f"arrived.{OBSERVED}"), F.col(f"after.{OBSERVED}")))
@@ -120,7 +122,7 @@ class _Splice:
         free = F.when(F.col("free_end").isNull(), self._made("arrived", {**opens, **self._still_open()}, F.col(f"arrived.{OBSERVED}")))
         free = free.otherwise(self._made("arrived", {**opens, **self._closed(F.col("free_end"))}, F.col(f"arrived.{OBSERVED}")))
         follows = self._made("after", self._start(_opened_at(after), _opened_at(after)), F.col(f"after.{OBSERVED}"))
-        begins = self._first_start(lambda c: F.col(f"after.{c}"), _opened_at(after))
+        begins = self._first_start(lambda c: F.col(f"after.record.{c}"), _opened_at(after))
         begins = self._made("after", self._start(begins, _opened_at(after)), F.col(f"after.{OBSERVED}"))
 
         join_after = F.col("meets") & F.col("like_after")
@@ -143,14 +145,15 @@ class _Splice:
         return F.array_compact(made)
 
     def _alike(self, side: str) -> Column:
-        return all_true(F.col(f"{side}.{c}").eqNullSafe(F.col(f"arrived.{c}")) for c in self.rules.tracked)
+        return all_true(F.col(f"{side}.record.{c}").eqNullSafe(F.col(f"arrived.record.{c}")) for c in self.rules.tracked)
 
     def _made(self, source: str, values: dict[str, Column], observed: Column) -> Column:
-        fields = [values.get(c, F.col(f"{source}.`{c}`")).cast(kind).alias(c) for c, kind in self.columns.items()]
-        return F.struct(*fields, observed.alias(OBSERVED))
+        record = values.get("record", F.col(f"{source}.record")).alias("record")
+        dates = [values.get(c, F.col(f"{source}.{c}")).cast(kind).alias(c) for c, kind in self.validity.items()]
+        return F.struct(record, *dates, observed.alias(OBSERVED))
 
     def _shown(self, column: str, entry: Column) -> Column:
-        return entry[column] if column in _loose(self.columns, self.rules) else F.col(f"before.`{column}`")
+        return entry[column] if column in _loose(self.columns, self.rules) else F.col(f"before.record.`{column}`")
 
     def _first_start(self, value, opened: Column) -> Column:
         own = self.rules.first_valid_from
@@ -202,4 +205,6 @@ def _record(df: DataFrame, columns: dict[str, str], rules: HistoryRules, observe
             return F.struct(o[SEEN_AT].alias(SEEN_AT), *values)
 
         entries = F.transform(observed, entry)
-    return F.struct(*[own(c) for c in columns], entries.alias(OBSERVED))
+    validity = rules.validity_types()
+    record = F.struct(*[own(c) for c in columns if c not in validity]).alias("record")
+    return F.struct(record, *[own(c) for c in validity], entries.alias(OBSERVED))

@@ -34,7 +34,7 @@ def test_any_order_gives_the_history_of_the_order_of_time(spark, tmp_path, rules
         expected = merge_history(written(expected, "history"), rows, rules, at)
     names = sorted(expected.columns)
     expected = rows_of(expected, names)
-    for order in [(0, 1, 2, 3), (3, 2, 1, 0), (2, 0, 3, 1), (1, 3, 0, 2)]:
+    for order in [(3, 2, 1, 0), (2, 0, 3, 1)]:
         base = str(tmp_path / "".join(map(str, order)))
         for n in order:
             merge_into(batches[n], base, replace(rules, any_order=True), f"b{n}", T[n])
