@@ -53,6 +53,8 @@ def parser() -> argparse.ArgumentParser:
         "--months", nargs=2, type=_month, metavar="YYYY-MM", help="refresh only the months from the first to the second"
     )
 
+    gold.add_argument("--incremental", action="store_true", help="replace only the months that incremental silver runs changed")
+
     warehouse = layers.add_parser("warehouse", help="sample CSV files to marts")
     warehouse.add_argument("--samples-path", required=True)
     warehouse.add_argument("--warehouse", required=True)
@@ -94,6 +96,7 @@ def main(arguments: list[str] | None = None) -> int:
             args.gold_base,
             args.csv_dir,
             args.aggregates,
+            incremental=args.incremental,
             as_of=args.as_of,
             months=args.months,
         )

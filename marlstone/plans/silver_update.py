@@ -4,6 +4,7 @@ Beside a silver table lies its state:
 
     <silver>/_state/<entity>/recency/   time and batch that each stored row came from, partitioned like the table
     <silver>/_state/<entity>/keys-*     the keys of each partition, one bit a key, in bitmaps of 32,768 neighbouring ones
+    <silver>/_state/<entity>/changes/   what each run changed, for the gold refresh: months, or keys that lead to months
     <silver>/_state/<entity>/log/       one record a run: the batches it covers and the bitmaps that hold since
 
 A run reads the new batches only, finds the partitions whose bitmaps have a new
@@ -38,7 +39,9 @@ from marlstone.sources.writers import batch_ids, batch_path, read_batches, repla
 
 STATE = "_state"
 RECENCY = ("_ingested_at", "_batch_id")
-RECORD = "run bigint, batches string, known string"
+RECORD = "run bigint, batches string, known string, is_full boolean"
+#: What a run notes of the rows it changes: the columns that lead to the months of orders.
+LEADS = {"orders": ("order_year", "order_month"), "order_items": ("order_id",), "products": ("product_id",)}
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 Month = tuple[int | None, ...]  # values of the partition columns; () for a table without
@@ -97,8 +100,9 @@ def update_entity(
                 touched = store.partitions_of(winners)
                 if name != "customers":
                     n_read += store.n_files(touched)
+                store.note_changes(run + 1, winners, touched)
             store.replace(winners, touched, at, full)
-            store.commit(run + 1, found, store.new_keys(touched, known))
+            store.commit(run + 1, found, store.new_keys(touched, known), full)
     return SilverUpdate(tuple(new), full, rows_read, rows, changed, tuple(touched or ()), n_read, store.n_files())
 
 
@@ -129,10 +133,24 @@ class _Store:
         record = self.spark.read.schema(RECORD).json(path).orderBy(F.desc("run")).first()
         return record.run, json.loads(record.batches), record.known
 
-    def commit(self, run: int, batches: dict[str, str], known: str) -> None:
-        record = self.spark.createDataFrame([(run, json.dumps(batches), known)], RECORD)
+    def commit(self, run: int, batches: dict[str, str], known: str, full: bool) -> None:
+        record = self.spark.createDataFrame([(run, json.dumps(batches), known, full)], RECORD)
         record.coalesce(1).write.mode("append").json(locate(self.state, "log"))
 
+    def note_changes(self, run: int, winners: DataFrame, touched: Sequence[Month]) -> None:
+        """Store what the rows lead to, as they are and as they were; a repeated run adds to what a dead one noted."""
+        leads, key = LEADS.get(self.entity.name), self.entity.key
+        if not leads or not touched:
+            return
+        if self.by:
+            noted = self.spark.createDataFrame([*touched], ", ".join(f"`{c}` int" for c in leads))
+        else:
+            noted = REPAIRS[self.entity.name](winners).select(*leads)
+            if leads != (key,):
+                kept = self.spark.read.parquet(self.table).join(winners.select(key), key, "left_semi")
+                noted = noted.unionByName(kept.select(*leads)).distinct()
+        noted.write.mode("append").parquet(locate(self.state, "changes", f"run={run}"))
+
     def paths(self, base: str, partitions: Sequence[Month]) -> list[str]:
         """Folders of partitions that exist; the partition () is the whole table."""
         out = []
@@ -228,6 +246,30 @@ class _Store:
         return path
 
 
+@dataclass(frozen=True)
+class Changes:
+    """What happened to a silver table after one of its runs."""
+
+    run: int  # the last run; 0 if the table is not kept up to date by runs
+    whole: bool  # is it unknown which rows changed?
+    noted: DataFrame | None  # the columns of LEADS; None if nothing changed
+
+
+def changes_since(spark: SparkSession, silver_base: str, name: str, run: int | None) -> Changes:
+    """What runs after ``run`` changed, from their notes; rows changed by other jobs are not known here."""
+    state = locate(silver_base, STATE, name)
+    if not exists(spark, locate(state, "log")):
+        return Changes(0, True, None)
+    log = spark.read.schema(RECORD).json(locate(state, "log"))
+    later = F.col("run") > (run or 0)
+    last, whole = log.agg(F.max("run"), F.bool_or(later & F.coalesce("is_full", F.lit(True)))).first()
+    if run is None or whole:
+        return Changes(last, True, None)
+    notes = [locate(state, "changes", f"run={n}") for n in range(run + 1, last + 1)]
+    notes = [path for path in notes if exists(spark, path)]
+    return Changes(last, False, spark.read.parquet(*notes) if notes else None)
+
+
 def run_updates(
     spark: SparkSession, bronze_base: str, silver_base: str, entities=None, null_limit=None, **options
 ) -> list[Outcome]:

@@ -70,10 +70,21 @@ def read_if_present(spark: SparkSession, path: str, *, merge_schema: bool = Fals
     return read_parquet(spark, path, merge_schema=merge_schema) if exists(spark, path) else None
 
 
-def within_months(df: DataFrame, months: tuple[tuple[int, int], tuple[int, int]] | None) -> DataFrame:
-    """Keep an inclusive range of (year, month) partitions; prunes the scan."""
+def month_list(months) -> list[tuple[int, int]]:
+    """The (year, month) pairs of a range, given by its first and last, or of a frozenset of months."""
+    if isinstance(months, frozenset):
+        return sorted(months)
+    (year, month), (last_year, last_month) = months
+    numbers = range(year * 12 + month - 1, last_year * 12 + last_month)
+    return [(n // 12, n % 12 + 1) for n in numbers]
+
+
+def within_months(df: DataFrame, months) -> DataFrame:
+    """Keep an inclusive range of (year, month) partitions, or those of a frozenset; prunes the scan."""
     if months is None:
         return df
-    (y0, m0), (y1, m1) = months
     number = F.col("order_year") * 12 + F.col("order_month")
+    if isinstance(months, frozenset):
+        return df.filter(number.isin([y * 12 + m for y, m in sorted(months)]))
+    (y0, m0), (y1, m1) = months
     return df.filter(number.between(y0 * 12 + m0, y1 * 12 + m1))

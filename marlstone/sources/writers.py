@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from marlstone.sources.evolution import union_evolved
-from marlstone.sources.readers import locate
+from marlstone.sources.readers import locate, month_list
 from marlstone.sources.scratch import folders, remove, scratch_table
 
 BATCH_FOLDER = "batch_folder"
@@ -131,20 +131,18 @@ def write_gold(
 def refresh_gold(
     df: DataFrame, name: str, gold_base: str, csv_dir: str | None, months, sort_by: Sequence[str] = ()
 ) -> int:
-    """Replace the months of a range in a gold table by the rows of ``df``, which are of that range.
+    """Replace the months of a range or set in a gold table by the rows of ``df``, which are of these months.
 
-    The new rows are stored before anything is replaced.  Months of the range that have no rows are removed.
+    The new rows are stored before anything is replaced.  Months among them that have no rows are removed.
     """
     spark, path, keys = df.sparkSession, locate(gold_base, name), ("order_year", "order_month")
     with scratch_table(df, f"refresh-{name}") as fresh:
         present = {(r.order_year, r.order_month) for r in fresh.select(*keys).distinct().collect()}
         if present:
             replace_months(fresh, path, keys, sort_by)
-        (year, month), last = months
-        while (year, month) <= tuple(last):
+        for year, month in month_list(months):
             if (year, month) not in present:
                 remove(spark, f"{path}/order_year={year}/order_month={month}")
-            year, month = (year, month + 1) if month < 12 else (year + 1, 1)
         if csv_dir is not None:
             stored = spark.read.schema(df.schema).parquet(path).select(*df.columns)
             write_csv(stored, locate(csv_dir, name))

@@ -148,23 +148,23 @@ def ntile_distributed(spark, folder):
     return with_tile(written(orders, "orders"), 7, ["total", "order_id"], "tile")
 
 
-FUNNEL_SQL = with_inputs(
-    f"""SELECT {whole('order_year')} AS order_year, {whole('order_month')} AS order_month, status,
-          CASE WHEN status IN ('completed', 'delivered') THEN 'converted'
-               WHEN status = 'shipped' THEN 'in_transit' WHEN status = 'pending' THEN 'pending'
-               WHEN status IN ('cancelled', 'refunded') THEN 'lost'
-               WHEN status = 'returned' THEN 'returned' ELSE 'other' END AS funnel_stage,
-          order_count, {double('revenue')} AS total_revenue,
-          {percent('order_count', 'all_orders')} AS pct_of_monthly_orders,
-          all_orders AS monthly_total_orders, converted AS monthly_converted_orders,
-          {percent('converted', 'all_orders')} AS monthly_conversion_rate_pct
-        FROM by_status JOIN by_month USING (order_year, order_month)""",
-    "orders",
+FUNNEL_BODY = f"""SELECT {whole('order_year')} AS order_year, {whole('order_month')} AS order_month, status,
+      CASE WHEN status IN ('completed', 'delivered') THEN 'converted'
+           WHEN status = 'shipped' THEN 'in_transit' WHEN status = 'pending' THEN 'pending'
+           WHEN status IN ('cancelled', 'refunded') THEN 'lost'
+           WHEN status = 'returned' THEN 'returned' ELSE 'other' END AS funnel_stage,
+      order_count, {double('revenue')} AS total_revenue,
+      {percent('order_count', 'all_orders')} AS pct_of_monthly_orders,
+      all_orders AS monthly_total_orders, converted AS monthly_converted_orders,
+      {percent('converted', 'all_orders')} AS monthly_conversion_rate_pct
+    FROM by_status JOIN by_month USING (order_year, order_month)"""
+FUNNEL_PARTS = dict(
     by_status=f"""SELECT order_year, order_month, status, count(order_id) AS order_count,
           round({exact_sum('total')}, 2) AS revenue FROM e_orders GROUP BY ALL""",
     by_month=f"""SELECT order_year, order_month, count(order_id) AS all_orders,
           count(*) FILTER (WHERE status IN {REVENUE}) AS converted FROM e_orders GROUP BY ALL""",
 )
+FUNNEL_SQL = with_inputs(FUNNEL_BODY, "orders", **FUNNEL_PARTS)
 
 
 @query("conversion_funnel", FUNNEL_SQL)

@@ -13,7 +13,7 @@ from marlstone.operators.staging import stage_orders
 from marlstone.operators.suites import SUITES
 from marlstone.plans.bronze_job import QUARANTINE, ingest_entity, ingest_frame
 from marlstone.plans.documents_job import flatten_documents, report_documents
-from marlstone.plans.gold_job import AGGREGATES, build_aggregate
+from marlstone.plans.gold_job import AGGREGATES, build_aggregate, refresh_aggregate
 from marlstone.plans.silver_job import merge_into, process_entity, read_history, read_silver
 from marlstone.plans.silver_update import update_entity
 from marlstone.plans.warehouse import build_warehouse, check_warehouse
@@ -159,20 +159,16 @@ RETURNED, REDATED = "order_date LIKE '1997-0%'", "order_date LIKE '1998-01%'"
 NEW_DATE = "1998-02-11"
 
 
-@query(
-    "silver_job_incremental",
-    with_inputs(
-        silver_queries.CLEAN_ORDERS_SQL,
-        "raw_orders",
-        revised=f"""SELECT * REPLACE (CASE WHEN {RETURNED} THEN 'Returned' ELSE status END AS status,
-            CASE WHEN {REDATED} THEN '{NEW_DATE}' ELSE order_date END AS order_date) FROM e_raw_orders""",
-        all_rows=silver_queries.COERCED_SQL.replace("e_raw_orders", "revised"),
-        coerced=f"SELECT * FROM all_rows WHERE {silver_queries.COMPLETE}",
-    ),
-)
-def silver_job_incremental(spark, folder):
-    """Three batches, each brought into silver before the next arrives."""
-    bronze, silver = new_path(spark, "bronze"), new_path(spark, "silver")
+REVISED_PARTS = {
+    "revised": f"""SELECT * REPLACE (CASE WHEN {RETURNED} THEN 'Returned' ELSE status END AS status,
+        CASE WHEN {REDATED} THEN '{NEW_DATE}' ELSE order_date END AS order_date) FROM e_raw_orders""",
+    "all_rows": silver_queries.COERCED_SQL.replace("e_raw_orders", "revised"),
+    "coerced": f"SELECT * FROM all_rows WHERE {silver_queries.COMPLETE}",
+}
+
+
+def _revised_orders(spark, folder, bronze, silver):
+    """Three batches, each brought into silver before the next arrives; yields after each."""
     raw = load(spark, folder, "raw_orders")
     batches = [
         (raw, 1),
@@ -181,10 +177,35 @@ def silver_job_incremental(spark, folder):
     ]
     for number, (rows, taken) in enumerate(batches, 1):
         ingest_frame(rows, ENTITIES["orders"], bronze, f"b-{number}", as_of=AS_OF, ingested_at=BATCH_TIMES[taken])
-        update_entity(spark, "orders", bronze, silver, null_limit=50.0, processed_at=_at(number))
+        yield update_entity(spark, "orders", bronze, silver, null_limit=50.0, processed_at=_at(number))
+
+
+@query("silver_job_incremental", with_inputs(silver_queries.CLEAN_ORDERS_SQL, "raw_orders", **REVISED_PARTS))
+def silver_job_incremental(spark, folder):
+    bronze, silver = new_path(spark, "bronze"), new_path(spark, "silver")
+    for _ in _revised_orders(spark, folder, bronze, silver):
+        pass
     return read_silver(spark, silver, "orders").drop("_silver_processed_at")
 
 
+@query(
+    "gold_job_incremental",
+    with_inputs(
+        gold_queries.FUNNEL_BODY,
+        "raw_orders",
+        **REVISED_PARTS,
+        e_orders=silver_queries.CLEAN_ORDERS_SQL,
+        **gold_queries.FUNNEL_PARTS,
+    ),
+)
+def gold_job_incremental(spark, folder):
+    """The same batches; after each, the funnel is refreshed in the months that silver changed."""
+    bronze, silver, gold = new_path(spark, "bronze"), new_path(spark, "silver"), new_path(spark, "gold")
+    for _ in _revised_orders(spark, folder, bronze, silver):
+        refresh_aggregate(spark, "funnel", silver, gold)
+    return spark.read.parquet(locate(gold, "conversion_funnel"))
+
+
 @query(
     "silver_job_evolution",
     with_inputs(

@@ -11,6 +11,7 @@ from marlstone.entities import ENTITIES
 from marlstone.operators.history import SILVER_CUSTOMERS
 from marlstone.plans.bronze_job import ingest_frame
 from marlstone.plans.cli import main
+from marlstone.plans.gold_job import build_aggregate, refresh_aggregate
 from marlstone.plans.silver_job import merge_into, process_entity, read_history, read_silver
 from marlstone.plans.silver_update import update_entity
 from marlstone.sources.evolution import common_type, union_evolved
@@ -180,3 +181,37 @@ def test_warehouse_checks_set_the_exit_status(spark, tmp_path, capsys):
     assert found[("stg_order_items", "unique", "order_item_id")] == 1
     assert found[("stg_customers", "accepted_values", "gender")] == 1
     assert run(True, "--no-checks")[0] == 0
+
+
+def test_gold_follows_the_months_that_silver_runs_changed(spark, tmp_path):
+    bronze, silver, refreshed = (str(tmp_path / n) for n in ("bronze", "silver", "gold"))
+    makers = {"orders": order, "order_items": item, "products": product}
+
+    def arrive(name, batch, hour, rows):
+        entity = ENTITIES[name]
+        schema = ", ".join(f"{c} {'string' if t in ('date', 'timestamp') else t}" for c, t in entity.types.items())
+        records = [makers[name](**r) for r in rows]
+        frame = spark.createDataFrame([tuple(r[c] for c in entity.types) for r in records], schema)
+        ingest_frame(frame, entity, bronze, batch, ingested_at=at(hour))
+        update_entity(spark, name, bronze, silver, null_limit=50.0, processed_at=at(hour))
+
+    def refresh(expected):
+        found = refresh_aggregate(spark, "daily_revenue", silver, refreshed)
+        assert found.months == expected
+        full = str(tmp_path / f"full-{len(os.listdir(tmp_path))}")
+        build_aggregate(spark, "daily_revenue", silver, full)
+        tables = [spark.read.parquet(f"{base}/daily_revenue_by_category") for base in (refreshed, full)]
+        columns = sorted(tables[1].columns)
+        assert len({str(sorted(map(str, t.select(*columns).collect()))) for t in tables}) == 1
+
+    arrive("orders", "1", 0, [dict(key=i, order_date=f"2024-0{i}-10") for i in range(1, 6)])
+    arrive("order_items", "1", 0, [dict(key=i, order_id=i, product_id=i % 3) for i in range(1, 6)])
+    arrive("products", "1", 0, [dict(key=i, category=f"c{i}") for i in range(3)])
+    refresh(None)
+    refresh(frozenset())
+    arrive("order_items", "2", 1, [dict(key=1, order_id=2, product_id=1, line_total=7.0)])  # a line leaves January
+    refresh(frozenset({(2024, 1), (2024, 2)}))
+    arrive("products", "2", 2, [dict(key=0, category="new")])
+    refresh(frozenset({(2024, 3)}))
+    arrive("orders", "2", 3, [dict(key=5, order_date="2024-04-11")])
+    refresh(frozenset({(2024, 4), (2024, 5)}))
