@@ -8,6 +8,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,8 @@ from marlstone.sources.scratch import new_path, written
 
 __all__ = [
     "broadcast_if_small",
+    "forget",
+    "kept",
     "new_path",
     "open_folder",
     "partitions",
@@ -52,6 +55,24 @@ def ship(spark: SparkSession) -> None:
     context._marlstone_shipped = True
 
 
+#: What the operators remember in a worker process from one task to the next.
+_KEPT: list[dict] = []
+
+
+def kept(memory: dict) -> dict:
+    """Declare a memory of worker processes, so that operators that follow can empty it."""
+    _KEPT.append(memory)
+    return memory
+
+
+def forget(but: dict | None = None) -> None:
+    """Empty the memories of other operators: a worker process serves the tasks of all of them, and theirs add up."""
+    for memory in _KEPT:
+        if memory is not but:
+            memory.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

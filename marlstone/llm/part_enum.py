@@ -38,24 +38,25 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import broadcast_if_small, row_key, written
+from marlstone.llm.common import broadcast_if_small, kept, row_key, written
 from marlstone.llm.components import components, moved
 from marlstone.sources.scratch import scratch_table
 
 PIVOTS = (8, 64, 1024)  # members a signature's others are checked against in each round; the last number repeats
 SKETCH = 1024  # bits of a sketch
+WORDS = 200_000  # whose hashes a worker process remembers; more cost memory that the next operators lack, and no less time
 SMALL = 24  # bands up to this size leave one of three second-level parts out, others one of two
 
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1_000_000:
+        if len(self) >= WORDS:
             self.clear()
         found = self[word] = xxhash.xxh64_intdigest(word)
         return found
 
 
-_WORDS = _WordHashes()
+_WORDS = kept(_WordHashes())
 
 
 def _mix(x: np.ndarray) -> np.ndarray:

@@ -29,18 +29,19 @@ import pyarrow.ipc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import new_path, open_folder, partitions, unique_name, written
+from marlstone.llm.common import forget, kept, new_path, open_folder, partitions, unique_name, written
 from marlstone.llm.pieces import PieceEncoder
 
 MANIFEST = "first_id long, first_row long, ids_file string, docs_file string, n_docs long, n_ids long"
 DOCS = pa.schema([("doc_id", pa.int64()), ("offset", pa.int64()), ("n_tokens", pa.int64())])
 
-_ENCODERS: dict[tuple, PieceEncoder] = {}
+_ENCODERS: dict[tuple, PieceEncoder] = kept({})
 
 
 def library_encoder(path: str, dtype: str) -> PieceEncoder:
     """The tokenizers library behind a memory of pieces, one per worker process."""
     if (path, dtype) not in _ENCODERS:
+        forget(but=_ENCODERS)
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores

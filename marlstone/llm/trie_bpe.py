@@ -20,6 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from marlstone.llm.common import forget, kept
 from marlstone.llm.pieces import PieceEncoder
 
 #: Fixed value: the split of byte-level BPE before its merges.
@@ -148,12 +149,13 @@ class TrieBpe:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
-_CODECS: dict[str, tuple[TrieBpe, PieceEncoder]] = {}
+_CODECS: dict[str, tuple[TrieBpe, PieceEncoder]] = kept({})
 
 
 def codec(path: str) -> tuple[TrieBpe, PieceEncoder]:
     """One codec a worker process."""
     if path not in _CODECS:
+        forget(but=_CODECS)
         bpe = TrieBpe(path)
         _CODECS[path] = bpe, PieceEncoder(bpe.encode_pieces)
     return _CODECS[path]

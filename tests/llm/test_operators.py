@@ -8,7 +8,9 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 tokenizers = pytest.importorskip("tokenizers")
 
@@ -436,6 +438,44 @@ def test_toxicity_without_labels(spark):
     assert score(documents(spark, ["a", None]), network).filter("predicted = 0").count() == 2
 
 
+def test_kept_text_is_sent_to_the_scorer_once(spark):
+    docs = documents(spark, ["some words", None, "other words"]).select("doc_id", "text").withColumn("held_out", F.lit("old"))
+    network = train([], np.array([]))
+    plain, whole = score(docs, network), score(docs, network, keep_columns=True)
+    assert "text_to_score" not in whole._jdf.queryExecution().optimizedPlan().toString()
+    assert whole.columns == ["doc_id", "text", "held_out", "score", "predicted"]
+    columns = ["doc_id", "held_out", "score", "predicted"]
+    assert sorted(whole.select(*columns).collect()) == sorted(plain.select(*columns).collect())
+    assert {r.text for r in whole.collect()} == {"some words", None, "other words"}
+
+
+def test_word_hashes_stay_bounded():
+    from marlstone.llm import part_enum
+
+    texts = [" ".join(f"w{i}" for i in range(at, at + 1000)) for at in range(0, 300_000, 1000)]
+    first = [part_enum.shingles(t, 3) for t in texts]
+    assert len(part_enum._WORDS) <= 200_000
+    assert all(np.array_equal(part_enum.shingles(t, 3), a) for t, a in zip(texts[::50], first[::50], strict=True))
+
+
+def test_workers_forget_what_other_operators_kept(spark):
+    from marlstone.llm import common, part_enum, trie_bpe
+    from marlstone.llm.catalog import vocabulary
+
+    def held(batches):
+        trie_bpe.codec(vocabulary())
+        part_enum.shingles("some words", 1)
+        full = [len(trie_bpe._CODECS), len(part_enum._WORDS)]
+        part_enum.shingles("some words", 1)
+        common.forget(but=trie_bpe._CODECS)
+        left = [len(trie_bpe._CODECS), len(part_enum._WORDS)]
+        common.forget()
+        yield from (pa.RecordBatch.from_pydict({"n": full + left + [len(trie_bpe._CODECS)]}) for _ in batches)
+
+    found = [r.n for r in spark.range(1).coalesce(1).mapInArrow(held, "n long").collect()]
+    assert found == [1, 2, 1, 0, 0]
+
+
 def test_archive(spark):
     rows = [(5, "u", "same"), (3, None, "same"), (3, "v", "same"), (9, "w", None), (8, "w", ""), (None, "x", "only"), (1, "y", "é" * 50000)]
     pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, size string")
