@@ -18,19 +18,28 @@ from marlstone.sources.scratch import scratch_table
 from marlstone.sources.writers import publish, write_table
 
 
-def staging_views(spark: SparkSession, samples_path: str) -> dict[str, DataFrame]:
-    """``<samples_path>/<entity>_sample.csv`` as the views ``stg_<entity>``."""
+def staging_views(spark: SparkSession, samples_path: str, store: str | None = None) -> dict[str, DataFrame]:
+    """``<samples_path>/<entity>_sample.csv`` as the views ``stg_<entity>``, over tables in the folder ``store`` if given."""
     return {
-        name: publish(stage(read_csv(spark, locate(samples_path, f"{name}_sample.csv"))), f"stg_{name}")
+        name: publish(
+            stage(read_csv(spark, locate(samples_path, f"{name}_sample.csv"))),
+            f"stg_{name}",
+            locate(store, f"stg_{name}") if store else None,
+        )
         for name, stage in STAGES.items()
     }
 
 
 def build_warehouse(
-    spark: SparkSession, samples_path: str, warehouse: str, batch_id: str, at: datetime, as_of=None
+    spark: SparkSession, samples_path: str, warehouse: str, batch_id: str, at: datetime, as_of=None, *, store_staging: bool = False
 ) -> dict[str, DataFrame]:
-    """Staging and intermediate views, the customer snapshot, and the stored marts."""
-    staged = staging_views(spark, samples_path)
+    """Staging and intermediate views, the customer snapshot, and the stored marts.
+
+    Staging views parse the CSV files whenever they are read.  With ``store_staging`` each file is parsed once and its
+    rows are stored: worth it where all models are read, as by checks; text that does not fit its type then stops the
+    build rather than the first reader of its column.
+    """
+    staged = staging_views(spark, samples_path, locate(warehouse, "staging") if store_staging else None)
     orders, items, products = staged["orders"], staged["order_items"], staged["products"]
     snapshot = run_snapshot(
         staged["customers"],

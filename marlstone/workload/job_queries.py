@@ -377,7 +377,7 @@ def csv_sample(spark, folder):
     return rows.select(*[F.col(c).cast(t).alias(c) for c, t in orders.dtypes])
 
 
-def _warehouse(spark, folder) -> dict:
+def _warehouse(spark, folder, **options) -> dict:
     """The warehouse models built from CSV files."""
     samples = new_path(spark, "samples")
     inputs = {
@@ -388,7 +388,7 @@ def _warehouse(spark, folder) -> dict:
     }
     for name, source in inputs.items():
         export_sample(load(spark, folder, source), locate(samples, f"{name}_sample.csv"), [])
-    return build_warehouse(spark, samples, new_path(spark, "warehouse"), "run-1", _at(1), AS_OF)
+    return build_warehouse(spark, samples, new_path(spark, "warehouse"), "run-1", _at(1), AS_OF, **options)
 
 
 _STAGED_INPUTS = {
@@ -495,7 +495,7 @@ _OWN_CHECKS_SQL = [
     ),
 )
 def warehouse_job_checks(spark, folder):
-    return check_warehouse(_warehouse(spark, folder), new_path(spark, "warehouse"), "run-1")
+    return check_warehouse(_warehouse(spark, folder, store_staging=True), new_path(spark, "warehouse"), "run-1")
 
 
 def _documents(spark, folder):

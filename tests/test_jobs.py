@@ -297,6 +297,25 @@ def test_warehouse_from_csv(spark, tmp_path):
     assert {(r.customer_id, r.is_current) for r in again["dim_customers"].collect()} == {(1, True), (2, False)}
 
 
+def test_checked_warehouse_parses_each_csv_once(spark, tmp_path):
+    samples = f"{tmp_path}/samples"
+    rows = {
+        "customers": [customer(1), customer(2)],
+        "products": [product(1), product(2, rating=9.0)],
+        "orders": [order(1), order(2, status=" Pending ")],
+        "order_items": [item(1), item(2, order_id=2)],
+    }
+    for name, records in rows.items():
+        spark.createDataFrame([{k: None if v is None else str(v) for k, v in r.items()} for r in records], ", ".join(f"`{k}` string" for k in records[0])).write.option("header", True).csv(f"{samples}/{name}_sample.csv")
+    at, day = dt.datetime(2024, 6, 1, tzinfo=dt.timezone.utc), dt.date(2024, 6, 1)
+    plain = build_warehouse(spark, samples, f"{tmp_path}/plain", "run-1", at, as_of=day)
+    stored = build_warehouse(spark, samples, f"{tmp_path}/stored", "run-1", at, as_of=day, store_staging=True)
+    assert not [f for df in stored.values() for f in df.inputFiles() if samples in f]
+    for name, df in stored.items():
+        assert df.dtypes == plain[name].dtypes
+        assert sorted(map(str, df.collect())) == sorted(map(str, plain[name].collect()))
+
+
 class Unconfigured:
     """A session without a shared folder."""
 
