@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -94,7 +95,8 @@ def update_entity(
             old = store.recency(near)
             n_read = len(old.inputFiles()) if near else 0
             winners = _newer(latest, old, entity)
-        with scratch_table(winners, f"winners-{name}") as winners:
+        # A full run replaces all rows by those of the stored table as it is; a second copy of them would tell no more.
+        with nullcontext(latest) if full else scratch_table(winners, f"winners-{name}") as winners:
             changed = rows if full else winners.count()
             if not full:
                 touched = store.partitions_of(winners)

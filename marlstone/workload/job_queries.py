@@ -18,7 +18,7 @@ from marlstone.plans.silver_job import merge_into, process_entity, read_history,
 from marlstone.plans.silver_update import update_entity
 from marlstone.plans.warehouse import build_warehouse, check_warehouse
 from marlstone.sources.readers import locate, read_csv
-from marlstone.sources.scratch import new_path
+from marlstone.sources.scratch import new_path, written
 from marlstone.sources.writers import (
     export_sample,
     read_batches,
@@ -168,12 +168,15 @@ REVISED_PARTS = {
 
 
 def _revised_orders(spark, folder, bronze, silver):
-    """Three batches, each brought into silver before the next arrives; yields after each."""
+    """Three batches, each brought into silver before the next arrives; yields after each.
+
+    The two that hold some orders only are stored first, as a batch arrives: ingestion reads its input several times.
+    """
     raw = load(spark, folder, "raw_orders")
     batches = [
         (raw, 1),
-        (raw.filter(RETURNED).withColumn("status", F.lit("Returned")), 3),
-        (raw.filter(f"order_date LIKE '1997-03%' OR {REDATED}").withColumn("order_date", F.lit(NEW_DATE)), 2),
+        (written(raw.filter(RETURNED).withColumn("status", F.lit("Returned")), "raw-orders"), 3),
+        (written(raw.filter(f"order_date LIKE '1997-03%' OR {REDATED}").withColumn("order_date", F.lit(NEW_DATE)), "raw-orders"), 2),
     ]
     for number, (rows, taken) in enumerate(batches, 1):
         ingest_frame(rows, ENTITIES["orders"], bronze, f"b-{number}", as_of=AS_OF, ingested_at=BATCH_TIMES[taken])

@@ -215,3 +215,17 @@ def test_gold_follows_the_months_that_silver_runs_changed(spark, tmp_path):
     refresh(frozenset({(2024, 3)}))
     arrive("orders", "2", 3, [dict(key=5, order_date="2024-04-11")])
     refresh(frozenset({(2024, 4), (2024, 5)}))
+
+
+def test_a_full_run_copies_its_rows_once(spark, tmp_path, monkeypatch):
+    from marlstone.plans import silver_update
+
+    bronze, silver, labels = f"{tmp_path}/bronze", f"{tmp_path}/silver", []
+    plain = silver_update.scratch_table
+    monkeypatch.setattr(silver_update, "scratch_table", lambda df, label: labels.append(label) or plain(df, label))
+    for n in (1, 2):
+        rows = spark.createDataFrame([order(1, status="shipped" if n == 1 else "returned"), order(n + 1)])
+        ingest_frame(rows, ENTITIES["orders"], bronze, f"b-{n}", as_of=DAY.date(), ingested_at=at(n))
+        update_entity(spark, "orders", bronze, silver, null_limit=50.0, processed_at=at(n))
+        assert ("winners-orders" in labels) == (n == 2)
+    assert {(r.order_id, r.status) for r in read_silver(spark, silver, "orders").collect()} == {(1, "returned"), (2, order(2)["status"]), (3, order(3)["status"])}
