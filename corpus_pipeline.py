@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.llm.catalog import vocabulary
-from marlstone.llm.common import new_path, ship, table
+from marlstone.llm.common import bound_batches, new_path, ship, table
 from marlstone.llm.credentials import redact
 from marlstone.llm.decontaminate import clean
 from marlstone.llm.part_enum import keep_one
@@ -17,6 +17,7 @@ from marlstone.llm.trie_bpe import encode_decode
 def without_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that the network, trained on labelled ones, does not call toxic."""
     ship(spark)
+    bound_batches(spark)  # for results that are written later
     labels = table(spark, folder, "labels")
     network = train(*sample(docs, labels), toxic_share(labels))
     return score(docs, network, keep_columns=True).filter(F.col("predicted") == 0).select(*docs.columns)
@@ -25,6 +26,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 def without_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near duplicates: five words, a similarity of 0.8."""
     ship(spark)
+    bound_batches(spark)  # for results that are written later
     return keep_one(docs, n=5, percent=80)
 
 
@@ -41,6 +43,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
 def tokens(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Token ids of every remaining document, as digests."""
     ship(spark)
+    bound_batches(spark)  # for results that are written later
     return encode_decode(docs, vocabulary())
 
 

@@ -6,6 +6,8 @@ import io
 import os
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 from marlstone.sources.scratch import new_path, written
 
 __all__ = [
+    "bound_batches",
     "broadcast_if_small",
     "forget",
     "kept",
@@ -24,6 +27,7 @@ __all__ = [
     "partitions",
     "row_key",
     "ship",
+    "short_batches",
     "table",
     "unique_name",
     "written",
@@ -55,6 +59,32 @@ def ship(spark: SparkSession) -> None:
     context._marlstone_shipped = True
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows of a batch for Python whose rows hold whole texts or sets.
+WIDE_ROWS = 1024
+
+
+def bound_batches(spark: SparkSession) -> str:
+    """Send Python at most ``WIDE_ROWS`` rows at a time from now on; returns what the limit was."""
+    before = spark.conf.get(ARROW_ROWS)
+    if not 0 < int(before) <= WIDE_ROWS:
+        spark.conf.set(ARROW_ROWS, WIDE_ROWS)
+    return before
+
+
+@contextmanager
+def short_batches(spark: SparkSession) -> Iterator[None]:
+    """Bound the batches of the jobs run in this block.
+
+    A batch stands in the JVM's buffers and in the worker at once, and neither soon gives its largest size back.
+    """
+    before = bound_batches(spark)
+    try:
+        yield
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
+
+
 #: What the operators remember in a worker process from one task to the next.
 _KEPT: list[dict] = []
 

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import broadcast_if_small, kept, row_key, written
+from marlstone.llm.common import broadcast_if_small, kept, row_key, short_batches, written
 from marlstone.llm.components import components, moved
 from marlstone.sources.scratch import scratch_table
 
@@ -266,7 +266,7 @@ def groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     nothing.  Further columns are not read; an empty table gives no rows.
     """
     keys = ["key_id", "key_hash"]
-    with scratch_table(_sets(docs, n, percent), "signatures") as made:  # wide, and gone after this block
+    with short_batches(docs.sparkSession), scratch_table(_sets(docs, n, percent), "signatures") as made:  # wide, and gone after this block
         exploded = made.select(F.explode("signatures").alias("signature"), "node")
         in_order = Window.partitionBy("signature").orderBy("node")
         members = (
@@ -290,7 +290,8 @@ def groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
         wanted = written(nodes.select("node", "key.*").join(ends.distinct(), "node", "left_semi"), "wanted")
         elements = _elements(docs, wanted, n)
-        with scratch_table(elements if unique else elements.dropDuplicates(["node"]), "elements") as elements:
+        elements = elements if unique else elements.dropDuplicates(["node"])
+        with short_batches(docs.sparkSession), scratch_table(elements, "elements") as elements:
             return written(_checked(pairs, elements, percent), "links")
 
     # First each set is checked against one hub only, which joins most groups of copies.

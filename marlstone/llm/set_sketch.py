@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import broadcast_if_small, row_key, written
+from marlstone.llm.common import broadcast_if_small, row_key, short_batches, written
 from marlstone.llm.components import components, merge_labels
 from marlstone.llm.part_enum import shingles
 from marlstone.sources.scratch import scratch_table
@@ -197,7 +197,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, perce
     ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     wanted = broadcast_if_small(written(nodes.select("id", "key.*").join(ends, "id", "left_semi"), "wanted"))
     texts = docs.select(*row_key(), "text").join(wanted, ["key_id", "key_hash"]).select("id", "text")
-    with scratch_table(texts.mapInArrow(elements, "id long, elements binary").dropDuplicates(["id"]), "elements") as sets:
+    found = texts.mapInArrow(elements, "id long, elements binary").dropDuplicates(["id"])
+    with short_batches(docs.sparkSession), scratch_table(found, "elements") as sets:
         for end in ("b", "a"):
             pairs = pairs.join(sets.select(F.col("id").alias(end), F.col("elements").alias(f"{end}_elements")), end)
         found = pairs.select("a", "b", "a_elements", "b_elements").mapInArrow(compare, "a long, b long")
@@ -222,7 +223,7 @@ def sketch_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 
     A pair at 0.8 shares no band with a chance of about 1e-9, and is set aside with one of about 1e-9.
     """
-    with scratch_table(_sets(docs, n), "sketches") as made:  # wide, and gone after this block
+    with short_batches(docs.sparkSession), scratch_table(_sets(docs, n), "sketches") as made:  # wide, and gone after this block
         sets = written(made.select("doc_id", "n_shingles", "node"), "sets")
         first = [F.first(c, ignorenulls=True).alias(c) for c in ("registers", "parities", "bands")]
         key = F.min(F.struct("key_id", "key_hash")).alias("key")

@@ -476,6 +476,40 @@ def test_workers_forget_what_other_operators_kept(spark):
     assert found == [1, 2, 1, 0, 0]
 
 
+def test_wide_rows_reach_python_in_short_batches(spark, monkeypatch):
+    import corpus_pipeline
+    from marlstone.llm import common, part_enum, set_sketch
+
+    before, limits = spark.conf.get(common.ARROW_ROWS), {}
+
+    def noted(module, name):
+        store = getattr(module, name)
+
+        def run(df, label):
+            limits.setdefault((module.__name__[14:], label), spark.conf.get(common.ARROW_ROWS))
+            return store(df, label)
+
+        monkeypatch.setattr(module, name, run)
+
+    for module in (part_enum, set_sketch):
+        noted(module, "scratch_table")
+        noted(module, "written")
+    docs = documents(spark, ["one two three four five six", "One two three four five six", "one two three four five six seven"])
+    assert groups(docs, 2, 60).filter("component_id = 0").count() == set_sketch.sketch_groups(docs, 2, 60).filter("component_id = 0").count() == 3
+    of_sets = [(m, x) for m, first in (("part_enum", "signatures"), ("set_sketch", "sketches")) for x in (first, "elements", "links")]
+    assert {limits[x] for x in of_sets} == {str(common.WIDE_ROWS)} and spark.conf.get(common.ARROW_ROWS) == before
+    try:
+        corpus_pipeline.tokens(spark, docs, "")  # written later
+        sizes = lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches)
+        found = [r.n for r in spark.range(3000).coalesce(1).mapInArrow(sizes, "n long").collect()]
+        assert sum(found) == 3000 and max(found) <= common.WIDE_ROWS
+        spark.conf.set(common.ARROW_ROWS, 7)  # a lower limit stays
+        with common.short_batches(spark):
+            assert spark.conf.get(common.ARROW_ROWS) == "7"
+    finally:
+        spark.conf.set(common.ARROW_ROWS, before)
+
+
 def test_archive(spark):
     rows = [(5, "u", "same"), (3, None, "same"), (3, "v", "same"), (9, "w", None), (8, "w", ""), (None, "x", "only"), (1, "y", "é" * 50000)]
     pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, size string")
