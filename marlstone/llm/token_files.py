@@ -20,8 +20,9 @@ repeated or lost attempt leaves files that nothing refers to.
 from __future__ import annotations
 
 import json
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.llm.common import forget, kept, new_path, open_folder, partitions, unique_name, written
-from marlstone.llm.pieces import PieceEncoder
+from marlstone.llm.pieces import PieceEncoder, by_size
 
 MANIFEST = "first_id long, first_row long, ids_file string, docs_file string, n_docs long, n_ids long"
 DOCS = pa.schema([("doc_id", pa.int64()), ("offset", pa.int64()), ("n_tokens", pa.int64())])
 
+#: Letters below U+0250, behind a space or not.
+_LATIN_WORD = re.compile(" ?[A-Za-z\u00AA\u00B5\u00BA\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+").fullmatch
+
 _ENCODERS: dict[tuple, PieceEncoder] = kept({})
 
 
@@ -53,38 +57,39 @@ def library_encoder(path: str, dtype: str) -> PieceEncoder:
         table = np.arange(tokenizer.get_vocab_size(), dtype=dtype)
         as_bytes = [i.tobytes() for i in table]  # ids of the vocabulary as they are written
         model, letters = tokenizer.model, _byte_letters()
-        space = letters[ord(" ")]
         whole_words = _keeps_words_whole(path)
 
-        def by_model(word: str) -> bytes:
-            """A Latin word, which is one piece for the model; giving it directly spares the rest of the library's way."""
-            if word.isascii():
-                word = word.replace(" ", space)
-            else:
-                word = word.encode().decode("latin-1").translate(letters)
-            found = model.tokenize(word)
-            return as_bytes[found[0].id] if len(found) == 1 else b"".join([as_bytes[t.id] for t in found])
-
-        def encode_many(texts):
-            made = [
-                by_model(t) if whole_words and (w := t[1:] if t[:1] == " " else t).isalpha() and (w.isascii() or max(w) < "\u0250") else None
-                for t in texts
-            ]
-            if None in made:
-                others = [t for t, ids in zip(texts, made, strict=True) if ids is None]
-                found = iter(tokenizer.encode_batch_fast(others, add_special_tokens=False))
-                made = [b"".join([as_bytes[i] for i in next(found).ids]) if ids is None else ids for ids in made]
-            return made
-
-        _ENCODERS[path, dtype] = PieceEncoder(encode_many)
+        def by_model(words: list[str]) -> list[bytes]:
+            """Latin words, each one piece for the model; giving them directly spares the rest of the library's way."""
+            if not words:
+                return []
+            lines = "\n".join(words).encode().decode("latin-1")
+            for byte, letter in letters:
+                lines = lines.replace(byte, letter)
+            made = map(model.tokenize, lines.split("\n"))
+            return [as_bytes[found[0].id] if len(found) == 1 else b"".join([as_bytes[t.id] for t in found]) for found in made]
+
+        def by_library(texts: list[str]) -> list[bytes]:
+            made = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            return [b"".join([as_bytes[i] for i in found.ids]) for found in made]
+
+        def encode_many(texts: Sequence[str]) -> list[bytes]:
+            words = [*filter(_LATIN_WORD, texts)] if whole_words else []
+            if len(words) == len(texts):
+                return by_model(words)
+            others = [t for t in texts if not _LATIN_WORD(t)] if words else texts
+            made = dict(zip(words, by_model(words), strict=True)) | dict(zip(others, by_library(others), strict=True))
+            return [made[t] for t in texts]
+
+        _ENCODERS[path, dtype] = PieceEncoder(encode_many, limit=350_000)  # a call with megabytes of text may pass it by a third
     return _ENCODERS[path, dtype]
 
 
-def _byte_letters() -> dict[int, str]:
-    """The letter that stands for each byte in a byte-level vocabulary: printable bytes stand for themselves."""
+def _byte_letters() -> list[tuple[str, str]]:
+    """Bytes and the letters that stand for them in a byte-level vocabulary, but for line breaks and bytes that stand for themselves."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in plain]
-    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+    return [(chr(b), chr(256 + i)) for i, b in enumerate(others) if b != ord("\n")]
 
 
 def _keeps_words_whole(path: str) -> bool:
@@ -200,14 +205,12 @@ def write_shards(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, writer, first = library_encoder(tokenizer, dtype), None, None
         for batch in batches:
-            for at in range(0, batch.num_rows, 32):
-                part = batch.slice(at, 32)
+            for part in by_size(batch, "text"):
                 doc_ids = part.column(0).to_pylist()
                 if writer is None:
                     writer = ShardWriter(folder, length, rows, dtype, end_id)
                     first = (doc_ids[0], part.column(2)[0].as_py())
-                found = encoder.encode([t or "" for t in part.column(1).to_pylist()])
-                for doc_id, ids in zip(doc_ids, found, strict=True):
+                for doc_id, ids in zip(doc_ids, encoder.encode(part.column(1)), strict=True):
                     writer.add(doc_id, ids)
         if writer is not None:
             writer.close()

@@ -175,7 +175,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, *, keep_ids: bool = False) ->
         for batch in batches:
             for at in range(0, batch.num_rows, 32):
                 part = batch.slice(at, 32)
-                ids = encoder.encode([t or "" for t in part.column(1).to_pylist()])
+                ids = encoder.encode(part.column(1))
                 texts = [bpe.decode(x) for x in ids]
                 columns = {
                     "doc_id": part.column(0),
