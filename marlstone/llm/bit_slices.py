@@ -154,17 +154,13 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, *, rows: int = 8
     n_blocks = -(-vectors.count() // rows)
     index = written(blocks(usable.coalesce(max(1, n_blocks)), rows), "slices")
     groups = max(1, min(partitions(spark), 4 * index.count()))
-    index = index.withColumn("place", F.pmod(F.xxhash64("block"), F.lit(groups)))
-    # Every block of queries meets every block of rows once: queries are sent to each group of row blocks.
-    batches = written(blocks(asked, query_rows), "queries")
+    # Every block of queries meets every block of rows once: only row blocks are dealt out, each task reads the stored
+    # queries in turn, and neither side is collected by the driver for a broadcast.
+    index = index.repartition(groups, "block")
+    batches = written(blocks(asked, query_rows), "queries").coalesce(1)
     batches = batches.select(
-        F.col("dim").alias("q_dim"),
-        F.col("n").alias("q_n"),
-        F.col("ids").alias("q_ids"),
-        F.col("vals").alias("q_vals"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(groups - 1).cast("bigint"))).alias("q_place"),
+        F.col("dim").alias("q_dim"), F.col("n").alias("q_n"), F.col("ids").alias("q_ids"), F.col("vals").alias("q_vals")
     )
-    same = (F.col("dim") == F.col("q_dim")) & (F.col("place") == F.col("q_place"))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, name = None, None
@@ -180,7 +176,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, *, rows: int = 8
 
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
-        index.join(batches, same)
+        index.join(batches.hint("shuffle_replicate_nl"), F.col("dim") == F.col("q_dim"))
         .mapInPandas(run, "query_id long, vec_id long, score long")
         .withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= k)

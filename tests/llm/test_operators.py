@@ -113,6 +113,25 @@ def test_search_odd_rows(spark):
     assert found == [(0, 1, 1, 512 * 512 + 256 * 256), (0, 2, 6, -512 * 512)]
 
 
+def test_search_broadcasts_no_queries(spark):
+    """Queries sent to every group of row blocks were collected by the driver: their size times the number of groups."""
+    rng = random.Random(3)
+    rows = [(i // 2 if i % 9 == 0 else i, [rng.randint(-500, 500) / 1024 for _ in range(3 if i % 5 else 2)]) for i in range(200)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = search(vectors, vectors.filter("vec_id % 7 = 0"), 4, rows=16, query_rows=4)
+    asked, best = {}, []
+    for i, x in rows:
+        if i % 7 == 0:
+            asked[i] = min(asked.get(i, x), x)
+    for i, x in asked.items():
+        scores = [(-sum(round(a * 1024) * round(b * 1024) for a, b in zip(x, y, strict=True)), j) for j, y in rows if j != i and len(y) == len(x)]
+        best += [(i, rank, j, -score) for rank, (score, j) in enumerate(sorted(scores)[:4], 1)]
+    assert sorted(map(tuple, found.collect())) == sorted(best)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    none = vectors.limit(0)
+    assert search(none, vectors).isEmpty() and search(vectors, none).isEmpty()
+
+
 def test_search_agrees_with_sql(spark):
     folder = "/root/testdata/sf0.001"
     query = QUERIES["op2_bit_slices"]
