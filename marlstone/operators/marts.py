@@ -16,6 +16,8 @@ from marlstone.operators.dedup import top_per_key
 from marlstone.operators.lines import per_order_and_product_group, revenue_orders
 
 MONTH_KEYS = ("order_year", "order_month")
+PRODUCT_GROUP = ("category", "sub_category")
+TOTALS = ("units", "revenue", "costs", "profit", "discounts", "discounted")
 
 
 def order_enriched(orders: DataFrame, order_items: DataFrame, products: DataFrame) -> DataFrame:
@@ -43,7 +45,12 @@ def order_enriched(orders: DataFrame, order_items: DataFrame, products: DataFram
 
 def daily_revenue(orders: DataFrame, order_items: DataFrame, products: DataFrame) -> DataFrame:
     """Revenue, cost and profit per day, category and sub-category."""
-    group = ["category", "sub_category"]
+    return daily_measures(daily_totals(orders, order_items, products))
+
+
+def daily_totals(orders: DataFrame, order_items: DataFrame, products: DataFrame) -> DataFrame:
+    """What ``daily_measures`` is computed from; totals of disjoint sets of orders add up (``added_totals``)."""
+    group = PRODUCT_GROUP
     cost = F.col("quantity") * F.col("cost")
     measures = [
         F.sum("quantity").alias("units"),
@@ -54,22 +61,31 @@ def daily_revenue(orders: DataFrame, order_items: DataFrame, products: DataFrame
         F.count("discount_pct").alias("discounted"),
     ]
     per_order = per_order_and_product_group(order_items, products, group, measures)
-    daily = (
+    return (
         per_order.join(revenue_orders(orders, "order_id", "order_date", *MONTH_KEYS), "order_id")
         .groupBy("order_date", *MONTH_KEYS, *group)
-        .agg(
-            F.count_distinct("order_id").alias("order_count"),
-            F.sum("units").alias("units_sold"),
-            F.sum("revenue").alias("revenue"),
-            exact.amount(F.sum("costs")).alias("total_cost"),
-            exact.amount(F.sum("profit")).alias("gross_profit"),
-            exact.mean(F.sum("discounts"), F.sum("discounted"), 4).alias("avg_discount_pct"),
-        )
+        .agg(F.count_distinct("order_id").alias("order_count"), *[F.sum(c).alias(c) for c in TOTALS])
+    )
+
+
+def added_totals(parts: DataFrame) -> DataFrame:
+    """``daily_totals`` of all orders from those of disjoint sets of orders."""
+    return parts.groupBy("order_date", *MONTH_KEYS, *PRODUCT_GROUP).agg(*[F.sum(c).alias(c) for c in ("order_count", *TOTALS)])
+
+
+def daily_measures(totals: DataFrame) -> DataFrame:
+    """Amounts, margins and shares of the day."""
+    daily = totals.select(
+        *["order_date", *MONTH_KEYS, *PRODUCT_GROUP, "order_count", "revenue"],
+        F.col("units").alias("units_sold"),
+        exact.amount(F.col("costs")).alias("total_cost"),
+        exact.amount(F.col("profit")).alias("gross_profit"),
+        exact.mean(F.col("discounts"), F.col("discounted"), 4).alias("avg_discount_pct"),
     )
     of_day = F.sum("revenue").over(Window.partitionBy("order_date"))
     revenue, day_revenue = exact.amount(F.col("revenue")), exact.amount(F.col("of_day"))
     return daily.withColumn("of_day", of_day).select(
-        *["order_date", *MONTH_KEYS, *group, "order_count", "units_sold"],
+        *["order_date", *MONTH_KEYS, *PRODUCT_GROUP, "order_count", "units_sold"],
         revenue.alias("gross_revenue"),
         "total_cost",
         "gross_profit",

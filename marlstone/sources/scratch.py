@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from functools import cache
 
@@ -55,6 +55,39 @@ def scratch_table(df: DataFrame, label: str) -> Iterator[DataFrame]:
         remove(df.sparkSession, path)
 
 
+@contextmanager
+def scratch_parts(parts: Sequence[DataFrame], label: str) -> Iterator[DataFrame]:
+    """Like ``scratch_table``, of the rows of all ``parts``, which are computed one after the other."""
+    spark = parts[0].sparkSession
+    path = new_path(spark, label)
+    try:
+        for part in parts:
+            part.write.mode("append").parquet(path)
+        yield spark.read.schema(parts[0].schema).parquet(path)
+    finally:
+        remove(spark, path)
+
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def dropping_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Each plan run in this block removes its shuffle files when it has ended.
+
+    Else they stay until the driver happens to collect its garbage, so a job of many plans may hold those of all at once.
+    """
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, True)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     files, target = _hadoop(spark, path)
     return files.exists(target)

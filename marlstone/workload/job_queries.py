@@ -16,7 +16,7 @@ from marlstone.plans.documents_job import flatten_documents, report_documents
 from marlstone.plans.gold_job import AGGREGATES, build_aggregate, refresh_aggregate
 from marlstone.plans.silver_job import merge_into, process_entity, read_history, read_silver
 from marlstone.plans.silver_update import update_entity
-from marlstone.plans.warehouse import build_warehouse, check_warehouse
+from marlstone.plans.warehouse import build_warehouse, check_warehouse, slices_of
 from marlstone.sources.readers import locate, read_csv
 from marlstone.sources.scratch import new_path, written
 from marlstone.sources.writers import (
@@ -498,7 +498,8 @@ _OWN_CHECKS_SQL = [
     ),
 )
 def warehouse_job_checks(spark, folder):
-    return check_warehouse(_warehouse(spark, folder, store_staging=True), new_path(spark, "warehouse"), "run-1")
+    models = _warehouse(spark, folder, store_staging=True, consume_samples=True)
+    return check_warehouse(models, new_path(spark, "warehouse"), "run-1", slices_of(models["stg_order_items"]))
 
 
 def _documents(spark, folder):

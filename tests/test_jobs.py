@@ -3,11 +3,13 @@
 import datetime as dt
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from marlstone.operators.quality import DataQualityError
+from marlstone.plans import warehouse
 from marlstone.plans.bronze_job import ingest_entity, run_bronze
 from marlstone.plans.cli import main
 from marlstone.plans.gold_job import run_gold
@@ -15,7 +17,7 @@ from marlstone.plans.outcomes import exit_status, run_each
 from marlstone.plans.silver_job import process_entity, read_silver, run_silver
 from marlstone.plans.warehouse import build_warehouse
 from marlstone.sources.readers import read_csv, read_if_present, read_json
-from marlstone.sources.scratch import shared_folder
+from marlstone.sources.scratch import CLEANUP, shared_folder
 from marlstone.sources.writers import export_sample, read_batches, replace_months, write_csv, write_table
 from marlstone.streaming.arrivals import ingest_arrivals
 
@@ -316,6 +318,61 @@ def test_checked_warehouse_parses_each_csv_once(spark, tmp_path):
         assert sorted(map(str, df.collect())) == sorted(map(str, plain[name].collect()))
 
 
+def sample_files(spark, folder, **rows):
+    for name, records in rows.items():
+        texts = [{k: None if v is None else str(v) for k, v in r.items()} for r in records]
+        columns = ", ".join(f"`{k}` string" for k in records[0])
+        spark.createDataFrame(texts, columns).write.option("header", True).csv(f"{folder}/{name}_sample.csv")
+
+
+def test_warehouse_in_slices_of_orders(spark, tmp_path, monkeypatch):
+    """Many lines are computed in slices of orders; orders and lines repeat, some lines have no order and hold no values."""
+    statuses = ["completed", "shipped", "pending", None]
+    orders = [order(i % 37, customer_id=i % 5, status=statuses[i % 4], order_date=f"2024-05-{1 + i % 9:02d}", total=None if i % 6 == 0 else 1.0 + i) for i in range(40)]
+    lines = [
+        item(i, order_id=None if i % 17 == 0 else 5 if i % 3 == 0 else i % 50, product_id=i % 4, quantity=1 + i % 3, discount_pct=None if i % 5 else 2.0 + i % 7, line_total=None if i % 11 == 0 else 0.1 * i)
+        for i in range(300)
+    ]
+    products = [product(i, category="A" if i % 2 else None, sub_category=f"S{i}", cost=None if i == 3 else 1.25) for i in range(4)]
+    people = [customer(1), customer(2), customer(2, email=None)]
+    at, day = dt.datetime(2024, 6, 1, tzinfo=dt.timezone.utc), dt.date(2024, 6, 1)
+    found = {}
+    for kind, many in (("whole", 32_000_000), ("sliced", 0)):
+        monkeypatch.setattr(warehouse, "MANY_BYTES", many)
+        samples = f"{tmp_path}/{kind}-samples"
+        sample_files(spark, samples, customers=people, products=products, orders=orders, order_items=lines)
+        models = build_warehouse(spark, samples, f"{tmp_path}/{kind}", "run-1", at, as_of=day, store_staging=True, consume_samples=True)
+        assert not os.listdir(samples)
+        n = warehouse.slices_of(models["stg_order_items"])
+        assert n == (1 if kind == "whole" else 4)
+        report = warehouse.check_warehouse(models, f"{tmp_path}/{kind}", "run-1", n)
+        found[kind] = {name: (df.dtypes, sorted(map(str, df.collect()))) for name, df in [*models.items(), ("report", report)]}
+    assert found["sliced"] == found["whole"]
+    assert len(found["whole"]["fct_daily_revenue"][1]) > 9 and len(found["whole"]["report"][1]) == 130
+
+
+def test_the_warehouse_leaves_no_shuffle_files(spark, tmp_path):
+    """A job of many plans held the shuffle files of all of them until the driver collected its garbage."""
+
+    def shuffled():
+        files = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+    samples, stored = f"{tmp_path}/samples", f"{tmp_path}/warehouse"
+    sample_files(spark, samples, customers=[customer(1)], products=[product(1)], orders=[order(1), order(2)], order_items=[item(1), item(2, order_id=2)])
+    at, before = dt.datetime(2024, 6, 1, tzinfo=dt.timezone.utc), shuffled()
+    models = build_warehouse(spark, samples, stored, "run-1", at, as_of=dt.date(2024, 6, 1), store_staging=True)
+    assert os.listdir(samples)
+    warehouse.check_warehouse(models, stored, "run-1")
+    for _ in range(100):  # files are removed behind the job's back
+        if not (left := shuffled() - before):
+            break
+        time.sleep(0.1)
+    assert not left
+    assert spark.conf.get(CLEANUP) == "false"
+    assert models["int_order_enriched"].count() == 2
+
+
 class Unconfigured:
     """A session without a shared folder."""
 
