@@ -119,13 +119,27 @@ class Block:
 BLOCKS = "dim int, block string, n int, ids binary, vals binary"
 
 
+def packed(values: np.ndarray) -> bytes:
+    """The values as the narrowest integers that hold them; stored blocks are read, dealt out and sent to Python whole."""
+    for kind in (np.int16, np.int32):
+        bounds = np.iinfo(kind)
+        if values.size and bounds.min <= values.min() and values.max() <= bounds.max:
+            return values.astype(kind).tobytes()
+    return values.tobytes()
+
+
+def unpacked(vals: bytes, n: int, dim: int) -> np.ndarray:
+    kind = np.dtype(f"i{len(vals) // (n * dim)}") if n * dim else np.int64
+    return np.frombuffer(vals, kind).reshape(n, dim).astype(np.int64)
+
+
 def blocks(vectors: DataFrame, rows: int) -> DataFrame:
     """Vectors (vec_id, q) packed into blocks of at most ``rows`` rows of one length; nothing is shuffled."""
 
     def pack(dim: int, held: list) -> dict:
         ids = np.array([i for i, _ in held], np.int64)
         values = np.array([v for _, v in held], np.int64).reshape(len(held), dim)
-        return {"dim": dim, "block": uuid.uuid4().hex, "n": len(held), "ids": ids.tobytes(), "vals": values.tobytes()}
+        return {"dim": dim, "block": uuid.uuid4().hex, "n": len(held), "ids": ids.tobytes(), "vals": packed(values)}
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[int, list] = {}
@@ -167,9 +181,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, *, rows: int = 8
         for part in parts:
             for r in part.itertuples():
                 if r.block != name:
-                    held, name = Block(np.frombuffer(r.ids, np.int64), np.frombuffer(r.vals, np.int64).reshape(r.n, r.dim)), r.block
+                    held, name = Block(np.frombuffer(r.ids, np.int64), unpacked(r.vals, r.n, r.dim)), r.block
                 found = []
-                for own, query in zip(np.frombuffer(r.q_ids, np.int64), np.frombuffer(r.q_vals, np.int64).reshape(r.q_n, r.dim), strict=True):
+                for own, query in zip(np.frombuffer(r.q_ids, np.int64), unpacked(r.q_vals, r.q_n, r.dim), strict=True):
                     ids, scores = held.top(int(own), query, k)
                     found.append(pd.DataFrame({"query_id": own, "vec_id": ids, "score": scores}))
                 yield pd.concat(found)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 tokenizers = pytest.importorskip("tokenizers")
 
 from marlstone.llm.archives import archive  # noqa: E402
-from marlstone.llm.bit_slices import Block, search  # noqa: E402
+from marlstone.llm.bit_slices import Block, packed, search, unpacked  # noqa: E402
 from marlstone.llm.catalog import QUERIES, vocabulary  # noqa: E402
 from marlstone.llm.common import new_path, ship  # noqa: E402
 from marlstone.llm.credentials import redact, scan  # noqa: E402
@@ -132,6 +132,14 @@ def test_search_broadcasts_no_queries(spark):
     assert search(none, vectors).isEmpty() and search(vectors, none).isEmpty()
 
 
+def test_blocks_keep_values_of_any_width():
+    for most in (0, 32767, 32768, 2**31 - 1, 2**31, 2**62):
+        for values in (np.array([[most, -1], [-most - 1, 0]], np.int64), np.zeros((3, 0), np.int64)):
+            again = unpacked(packed(values), *values.shape)
+            assert again.dtype == np.int64 and again.tolist() == values.tolist()
+    assert len(packed(np.array([[500, -500]]))) == 4
+
+
 def test_search_agrees_with_sql(spark):
     folder = "/root/testdata/sf0.001"
     query = QUERIES["op2_bit_slices"]
